@@ -64,17 +64,19 @@ def skew_join(
     *,
     broadcast_bytes: int = BROADCAST_BYTES,
     salts: int | None = None,
+    hot: list | None = None,
 ) -> DataFrame:
     """Join a fact table with a table that is unique (or nearly so) on ``key``.
 
     ``how`` is inner, left, left_semi or left_anti. A ``dim`` whose estimated size is within
     ``broadcast_bytes`` is broadcast. Otherwise both sides shuffle on (key, salt), where the salt
-    splits the fact rows of hot keys over all shuffle partitions.
+    splits the fact rows of hot keys over all shuffle partitions. Pass ``hot`` to reuse a list that
+    ``hot_keys`` found earlier.
     """
     if estimated_bytes(dim) <= broadcast_bytes:
         return fact.join(F.broadcast(dim), key, how)
     salts = salts or default_salts(fact)
-    hot = hot_keys(fact, key)
+    hot = hot_keys(fact, key) if hot is None else hot
     joined = add_salt(fact, key, hot, salts).join(
         replicate(dim, key, hot, salts), [key, SALT], how
     )

@@ -6,12 +6,13 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.hashing import (
-    bucket32, digest, fraction_bucket, hex_window, resolution_for, threshold,
+    bucket32, digest, fraction_bucket, resolution_for, threshold,
 )
 from ..schemas import Columns
+from ..session import cut_lineage
 from .skew import skew_join
 
 COLS = Columns()
@@ -33,25 +34,28 @@ def split_bernoulli(
 
 
 def _repeat(df: DataFrame, times: str) -> DataFrame:
-    """Every row ``times`` times, generated in bounded chunks spread over tasks."""
+    """Every row ``times`` times, generated in bounded chunks that are spread over tasks."""
     chunk = F.lit(COPIES_PER_TASK)
     chunks = df.where(F.col(times) > 0).withColumn(
         "_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col(times) - 1) / chunk)))
     )
     size = F.least(chunk, F.col(times) - F.col("_chunk") * chunk).cast("int")
     return (
-        chunks.repartition("_chunk")
+        chunks.repartition(*df.columns, "_chunk")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), size)))
         .drop("_chunk", "_copy", times)
     )
 
 
-def _locate(counts: list[tuple[int, int]], wanted: int) -> tuple[int, int]:
-    """The bucket in which the running count reaches ``wanted``, and the count before it."""
+def _locate(counts: DataFrame, wanted: int) -> tuple[str, int]:
+    """The hash prefix in which the running count reaches ``wanted``, and the count before it.
+
+    ``counts`` is (prefix, n) with at most 65,536 rows.
+    """
     below = 0
-    for bucket, n in counts:
+    for prefix, n in sorted(tuple(row) for row in counts.collect()):
         if below + n >= wanted:
-            return bucket, below
+            return prefix, below
         below += n
     raise ValueError(f"asked for {wanted} of {below} rows")
 
@@ -61,42 +65,39 @@ def split_exact(
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test) with exactly ``ceil(test_size * n)`` test rows.
 
-    Rows are ordered by (md5 of the whole row, the row); the first ones form the test set. The cut
-    is found by counting hash prefixes: once per 16-bit prefix, then per next 16 bits inside the
-    prefix that holds the cut. Only these counts (65,536 at most each) reach the driver. A narrow
-    filter places every row except those sharing the cut's 32-bit prefix, of which exact copies
-    are counted rather than sorted.
+    Rows are ordered by (md5 of the whole row, the row); the first ones form the test set. Counts
+    per 4-digit hash prefix (65,536 at most) locate the prefix that holds the cut, and a narrow
+    filter places all rows with other prefixes. The rows of that one prefix, with exact copies
+    counted, are written to the shared folder and cut there in the same way, one level deeper.
     """
     columns = ratings.columns
     hashed = ratings.withColumn("_md5", digest(columns, seed))
-    first, second = hex_window(F.col("_md5"), 1, 4), hex_window(F.col("_md5"), 5, 4)
-
-    def prefix_counts(rows: DataFrame, prefix: Column) -> list[tuple[int, int]]:
-        return sorted((r["b"], r["n"]) for r in rows.groupBy(prefix.alias("b")).agg(
-            F.count("*").alias("n")).collect())
-
-    head = prefix_counts(hashed, first)
-    if not head:
+    head, longer = F.substring("_md5", 1, 4), F.substring("_md5", 1, 8)
+    head_counts = hashed.groupBy(head.alias("prefix")).agg(F.count("*").alias("n"))
+    n_rows = ratings.count()
+    if not n_rows:
         return ratings, ratings
-    wanted = math.ceil(round(test_size * sum(n for _, n in head), 6))
-    cut1, below1 = _locate(head, wanted)
-    cut2, below2 = _locate(prefix_counts(hashed.where(first == cut1), second), wanted - below1)
-    remaining = F.lit(wanted - below1 - below2)
-
-    before = (first < cut1) | ((first == cut1) & (second < cut2))
-    at_cut = (first == cut1) & (second == cut2)
-    edge = hashed.where(at_cut).groupBy("_md5", *columns).agg(F.count("*").alias("_n"))
-    order = Window.partitionBy(F.substring("_md5", 1, 8)).orderBy("_md5", *columns)
-    earlier = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
-    edge = edge.withColumn(
-        "_test", F.greatest(F.lit(0), F.least(F.col("_n"), remaining - earlier))
-    ).withColumn("_train", F.col("_n") - F.col("_test"))
+    wanted = math.ceil(round(test_size * n_rows, 6))
+    cut, below = _locate(head_counts, wanted)
 
-    test = hashed.where(before).select(columns)
-    train = hashed.where(~before & ~at_cut).select(columns)
+    edge = cut_lineage(
+        hashed.where(head == cut).groupBy("_md5", *columns).agg(F.count("*").alias("_n"))
+    )
+    tail_counts = edge.groupBy(longer.alias("prefix")).agg(F.sum("_n").alias("n"))
+    last_cut, last_below = _locate(tail_counts, wanted - below)
+    remaining = wanted - below - last_below
+    order = Window.partitionBy(longer).orderBy("_md5", *columns)
+    earlier = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
+    in_test = (
+        F.when(longer < last_cut, F.col("_n"))
+        .when(longer > last_cut, F.lit(0))
+        .otherwise(F.greatest(F.lit(0), F.least(F.col("_n"), F.lit(remaining) - earlier)))
+    )
+    edge = edge.withColumn("_test", in_test).withColumn("_train", F.col("_n") - F.col("_test"))
+    train, test = hashed.where(head > cut), hashed.where(head < cut)
     return (
-        train.unionByName(_repeat(edge, "_train").select(columns)),
-        test.unionByName(_repeat(edge, "_test").select(columns)),
+        train.select(columns).unionByName(_repeat(edge, "_train").select(columns)),
+        test.select(columns).unionByName(_repeat(edge, "_test").select(columns)),
     )
 
 

@@ -20,7 +20,7 @@ from ..operators.cleaning import dedupe_last, observed_only
 from ..operators.skew import (
     BROADCAST_BYTES, SALT, add_salt, default_salts, hot_keys, replicate, skew_join,
 )
-from ..operators.stats import gram, gram_columns
+from ..operators.stats import dataset_stats, gram, gram_columns
 from ..schemas import Columns
 from ..session import cut_lineage
 from .model import FactorModel
@@ -142,7 +142,9 @@ def train_plain_als(
         ids = ratings.select(F.col(column).alias("id")).where("id IS NOT NULL").distinct()
         return cut_lineage(initial_factors(ids, rank, seed, side))
 
-    def keep_unsolved(initial: DataFrame, solved: DataFrame) -> DataFrame:
+    def keep_unsolved(initial: DataFrame, solved: DataFrame, all_solved: bool) -> DataFrame:
+        if all_solved:
+            return solved
         found = solved.withColumnRenamed("features", "_solved")
         return initial.join(found, "id", "left").select(
             "id", F.coalesce("_solved", "features").alias("features")
@@ -150,15 +152,17 @@ def train_plain_als(
 
     first_users, first_items = start(cols.user, "user"), start(cols.item, "item")
     row_bytes = 8 * rank + 64
-    users_fit = first_users.count() * row_bytes <= broadcast_bytes
-    items_fit = first_items.count() * row_bytes <= broadcast_bytes
+    n_users, n_items = first_users.count(), first_items.count()
+    users_fit = n_users * row_bytes <= broadcast_bytes
+    items_fit = n_items * row_bytes <= broadcast_bytes
+    hot_items = None if items_fit else hot_keys(last, cols.item)
 
     def with_items(rows: DataFrame, items: DataFrame) -> DataFrame:
         dim = items.withColumnRenamed("id", cols.item)
         if items_fit:
             return rows.join(F.broadcast(dim), cols.item)
         plain = [c for c in rows.columns if c != SALT]
-        return skew_join(rows.select(plain), dim, cols.item, broadcast_bytes=0)
+        return skew_join(rows.select(plain), dim, cols.item, broadcast_bytes=0, hot=hot_items)
 
     def with_users(rows: DataFrame, users: DataFrame) -> DataFrame:
         dim = users.withColumnRenamed("id", cols.user)
@@ -174,14 +178,16 @@ def train_plain_als(
 
     try:
         observed = observed_only(by_user, cols)
+        found = dataset_stats(observed, cols).first()
+        users_solved, items_solved = found["num_users"] == n_users, found["num_items"] == n_items
         users, items, history = first_users, first_items, []
         for iteration in range(1, max_iter + 1):
             sums = gram(with_items(observed, items), cols.user, rank, cols.rating)
             solved = solve_gram(sums, cols.user, rank, reg, scaled)
-            users = cut_lineage(keep_unsolved(first_users, solved))
+            users = cut_lineage(keep_unsolved(first_users, solved, users_solved))
             sums = gram(with_users(observed, users), cols.item, rank, cols.rating)
             solved = solve_gram(sums, cols.item, rank, reg, scaled)
-            items = cut_lineage(keep_unsolved(first_items, solved))
+            items = cut_lineage(keep_unsolved(first_items, solved, items_solved))
             if track_rmse:
                 history.append((iteration, train_rmse(users, items)))
     finally:

@@ -23,6 +23,7 @@ from .model import FactorModel, require_model
 
 BLOCK_ROWS = 8192
 SHARD_ROWS = 65536
+PAIRS_PER_TASK = 4_000_000
 SCORES_AT_ONCE = 4_000_000
 
 
@@ -58,7 +59,7 @@ def _block_matcher(
 
     def match(left: pa.Table, right: pa.Table) -> pa.Table:
         queries = left.filter(pc.is_valid(left["features"]))
-        excluded = left.filter(pc.is_valid(left["right_id"]))
+        excluded = left.filter(pc.is_valid(left["excluded"]))
         u_ids, u = vectors(queries, "left_id")
         v_ids, v = vectors(right, "right_id")
         out_l, out_r, out_s = [u_ids[:0]], [v_ids[:0]], [np.empty(0)]
@@ -67,8 +68,10 @@ def _block_matcher(
             slack = 4 * (rank + 2) * np.finfo(float).eps
             reach = slack * np.linalg.norm(u, axis=1) * np.linalg.norm(v, axis=1).max()
 
-            row, row_known = positions(u_ids, excluded["left_id"].to_numpy())
-            col, col_known = positions(v_ids, excluded["right_id"].to_numpy())
+            lists = excluded["excluded"].combine_chunks()
+            owners = np.repeat(excluded["left_id"].to_numpy(), pc.list_value_length(lists))
+            row, row_known = positions(u_ids, owners)
+            col, col_known = positions(v_ids, lists.flatten().to_numpy())
             known = row_known & col_known
             row, col = row[known], col[known]
             by_row = np.argsort(row, kind="stable")
@@ -125,6 +128,7 @@ def top_matches(
     shard_rows: int = SHARD_ROWS,
     query_count: int | None = None,
     target_count: int | None = None,
+    exclude_count: int | None = None,
 ) -> DataFrame:
     """(left_id, right_id, score): the ``n`` best targets by dot product for every query.
 
@@ -141,8 +145,11 @@ def top_matches(
     n_queries = max(1, queries.count() if query_count is None else query_count)
     n_targets = max(1, targets.count() if target_count is None else target_count)
     cores = spark.sparkContext.defaultParallelism
-    blocks = max(math.ceil(n_queries / block_rows), min(4 * cores, math.ceil(n_queries / 64)))
     shards = math.ceil(n_targets / shard_rows)
+    blocks = max(math.ceil(n_queries / block_rows), min(4 * cores, math.ceil(n_queries / 64)))
+    if exclude is not None:  # keep the excluded pairs of one block and shard in bounds as well
+        n_pairs = exclude.count() if exclude_count is None else exclude_count
+        blocks = max(blocks, min(n_queries, math.ceil(n_pairs / (shards * PAIRS_PER_TASK))))
     left_type = queries.schema["id"].dataType
     right_type = targets.schema["id"].dataType
 
@@ -160,18 +167,23 @@ def top_matches(
         block_of(F.col("id")).alias("block"),
         F.col("id").alias("left_id"),
         vector.alias("features"),
-        F.lit(None).cast(right_type).alias("right_id"),
+        F.lit(None).cast(T.ArrayType(right_type)).alias("excluded"),
         every(shards).alias("shard"),
     )
     if exclude is not None:
-        pairs = exclude.select("left_id", "right_id").dropna().distinct()
+        seen = (
+            exclude.select("left_id", F.col("right_id").cast(right_type).alias("right_id"))
+            .dropna()
+            .groupBy("left_id", shard_of(F.col("right_id")).alias("shard"))
+            .agg(F.collect_set("right_id").alias("excluded"))  # at most one shard of ids
+        )
         left = left.unionByName(
-            pairs.select(
+            seen.select(
                 block_of(F.col("left_id")).alias("block"),
                 F.col("left_id").cast(left_type),
                 F.lit(None).cast("array<double>").alias("features"),
-                F.col("right_id").cast(right_type),
-                shard_of(F.col("right_id")).alias("shard"),
+                "excluded",
+                "shard",
             )
         )
     right = targets.select(
