@@ -35,13 +35,20 @@ def read_recommendations(spark: SparkSession, path: str, fmt: str = "csv") -> Da
 
 
 def read_metrics(
-    spark: SparkSession, paths: Iterable[str], schema: T.StructType = RUN_METRICS
+    spark: SparkSession,
+    paths: Iterable[str],
+    schema: T.StructType = RUN_METRICS,
+    lines: bool = False,
 ) -> DataFrame:
-    """Run metrics from JSON objects, pretty-printed or one per line; missing paths give no rows."""
+    """Run metrics from JSON; missing paths give no rows.
+
+    A file holds one object, pretty-printed or not. With ``lines`` it holds one object per line, as
+    ``write_metrics`` leaves it.
+    """
     found = [p for p in paths if path_exists(spark, p)]
     if not found:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).json(found, multiLine=True)
+    return spark.read.schema(schema).json(found, multiLine=not lines)
 
 
 def ids_frame(spark: SparkSession, ids: Iterable[int], column: str) -> DataFrame:

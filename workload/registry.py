@@ -226,7 +226,7 @@ def write_metrics(spark, sf_dir):
     table = views.run_metrics(spark, sf_dir)
     path = scratch_path(spark, "metrics")
     sources.write_metrics(table, path)
-    return spark.read.schema(table.schema).json(path)
+    return sources.read_metrics(spark, [path], table.schema, lines=True)
 
 
 @query("write_training_triples", 'SELECT "userId", "movieId", rating FROM ratings', "ratings")
