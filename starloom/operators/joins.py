@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.vectors import as_double_vector, dot
 from ..schemas import Columns
-from .skew import skew_join
+from .skew import skew_join, skew_joins
 
 COLS = Columns()
 
@@ -44,10 +44,6 @@ def enrich_titles(
     return skew_join(recs, details, cols.item, how).select(*recs.columns, "title", "genres")
 
 
-def _score(rank: int | None) -> Column:
-    return dot(F.col("_u"), F.col("_v"), rank)
-
-
 def score_pairs(
     pairs: DataFrame,
     user_factors: DataFrame,
@@ -64,12 +60,18 @@ def score_pairs(
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    users = user_factors.select(F.col("id").alias(cols.user), as_double_vector(F.col("features")).alias("_u"))
-    items = item_factors.select(F.col("id").alias(cols.item), as_double_vector(F.col("features")).alias("_v"))
-    with_users = skew_join(pairs, users, cols.user, how)
-    return skew_join(with_users, items, cols.item, how).select(
-        *pairs.columns, _score(rank).alias(cols.prediction)
-    )
+
+    def vectors(factors: DataFrame, key: str, name: str) -> DataFrame:
+        return factors.select(
+            F.col("id").alias(key), as_double_vector(F.col("features")).alias(name)
+        )
+
+    dims = {
+        cols.user: vectors(user_factors, cols.user, "_u"),
+        cols.item: vectors(item_factors, cols.item, "_v"),
+    }
+    score = dot(F.col("_u"), F.col("_v"), rank)
+    return skew_joins(pairs, dims, how).select(*pairs.columns, score.alias(cols.prediction))
 
 
 def recommendation_hits(

@@ -16,14 +16,14 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Keys holding more than ``share`` of the rows, plus possibly a few colder ones.
+def hot_keys(df: DataFrame, *keys: str, share: float = HOT_SHARE) -> dict[str, list]:
+    """Per key column, the values holding more than ``share`` of the rows, plus possibly colder ones.
 
-    One scan of the key column with bounded per-task state; the result has at most ``1/share``
-    entries. Extra keys cost a little replication and never change a result.
+    One scan of the key columns with bounded per-task state, and at most ``1/share`` values per
+    column. The lists only steer where rows go: extra or missing values never change a result.
     """
-    found = df.where(F.col(key).isNotNull()).stat.freqItems([key], share).first()
-    return sorted((found[0] or []) if found else [])
+    found = df.stat.freqItems(list(keys), share).first()
+    return {key: sorted(v for v in found[i] or [] if v is not None) for i, key in enumerate(keys)}
 
 
 def default_salts(df: DataFrame) -> int:
@@ -76,8 +76,26 @@ def skew_join(
     if estimated_bytes(dim) <= broadcast_bytes:
         return fact.join(F.broadcast(dim), key, how)
     salts = salts or default_salts(fact)
-    hot = hot_keys(fact, key) if hot is None else hot
+    hot = hot_keys(fact, key)[key] if hot is None else hot
     joined = add_salt(fact, key, hot, salts).join(
         replicate(dim, key, hot, salts), [key, SALT], how
     )
     return joined.drop(SALT)
+
+
+def skew_joins(
+    fact: DataFrame,
+    dims: dict[str, DataFrame],
+    how: str = "inner",
+    *,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """``skew_join`` with several tables, each on its own key column of ``fact``.
+
+    The hot keys of all columns that need a shuffle come from one scan of ``fact``.
+    """
+    shuffled = [k for k, dim in dims.items() if estimated_bytes(dim) > broadcast_bytes]
+    hot = hot_keys(fact, *shuffled) if shuffled else {}
+    for key, dim in dims.items():
+        fact = skew_join(fact, dim, key, how, broadcast_bytes=broadcast_bytes, hot=hot.get(key))
+    return fact

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -13,7 +12,7 @@ from ..functions.hashing import (
 )
 from ..schemas import Columns
 from ..session import cut_lineage
-from .skew import skew_join
+from .skew import skew_joins
 
 COLS = Columns()
 DEFAULT_FRACTIONS = (0.01, 0.1, 0.25, 0.5, 0.75, 1.0)
@@ -168,11 +167,8 @@ def filter_by_id(df: DataFrame, column: str, value: int) -> DataFrame:
 
 def known_pairs(test: DataFrame, train: DataFrame, cols: Columns = COLS) -> DataFrame:
     """Test rows whose user and item both occur in train."""
-    return reduce(
-        lambda rows, key: skew_join(rows, train.select(key).distinct(), key, "left_semi"),
-        [cols.user, cols.item],
-        test,
-    ).select(test.columns)
+    ids = {key: train.select(key).distinct() for key in (cols.user, cols.item)}
+    return skew_joins(test, ids, "left_semi").select(test.columns)
 
 
 def kfold_assign(

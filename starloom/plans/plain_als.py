@@ -131,9 +131,10 @@ def train_plain_als(
     last = dedupe_last(ratings, cols).where(F.col(cols.rating) != 0)
     last = last.select(cols.user, cols.item, cols.rating)
     salts = default_salts(ratings)
-    hot = hot_keys(last, cols.user)
+    hot = hot_keys(last, cols.user, cols.item)
+    hot_users, hot_items = hot[cols.user], hot[cols.item]
     by_user = (
-        add_salt(last, cols.user, hot, salts)
+        add_salt(last, cols.user, hot_users, salts)
         .repartition(salts, cols.user, SALT)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
@@ -155,7 +156,6 @@ def train_plain_als(
     n_users, n_items = first_users.count(), first_items.count()
     users_fit = n_users * row_bytes <= broadcast_bytes
     items_fit = n_items * row_bytes <= broadcast_bytes
-    hot_items = None if items_fit else hot_keys(last, cols.item)
 
     def with_items(rows: DataFrame, items: DataFrame) -> DataFrame:
         dim = items.withColumnRenamed("id", cols.item)
@@ -168,7 +168,7 @@ def train_plain_als(
         dim = users.withColumnRenamed("id", cols.user)
         if users_fit:
             return rows.join(F.broadcast(dim), cols.user)
-        return rows.join(replicate(dim, cols.user, hot, salts), [cols.user, SALT])
+        return rows.join(replicate(dim, cols.user, hot_users, salts), [cols.user, SALT])
 
     def train_rmse(users: DataFrame, items: DataFrame) -> float:
         rows = with_users(by_user, users.withColumnRenamed("features", "_u"))

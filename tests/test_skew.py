@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.operators import joins, splits
-from starloom.operators.skew import SALT, add_salt, hot_keys, replicate, skew_join
+from starloom.operators.skew import SALT, add_salt, hot_keys, replicate, skew_join, skew_joins
 
 
 @pytest.fixture
@@ -27,8 +27,9 @@ def users(spark):
 
 
 def test_hot_keys_are_bounded_and_contain_the_hot_one(hot_ratings):
-    found = hot_keys(hot_ratings, "userId", share=1 / 20)
-    assert 7 in found and len(found) <= 20
+    found = hot_keys(hot_ratings, "userId", "movieId", share=1 / 20)
+    assert 7 in found["userId"] and 1 in found["movieId"]
+    assert all(len(values) <= 20 and None not in values for values in found.values())
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -57,7 +58,7 @@ def test_salted_score_pairs_equals_direct_product(spark, hot_ratings, rows_of, m
         F.array(F.col("id") / 7.0, F.col("id") / 11.0).alias("features"),
     )
     broadcast = joins.score_pairs(hot_ratings, factors, factors, rank=2)
-    monkeypatch.setitem(skew_join.__kwdefaults__, "broadcast_bytes", 0)
+    monkeypatch.setitem(skew_joins.__kwdefaults__, "broadcast_bytes", 0)
     salted = joins.score_pairs(hot_ratings, factors, factors, rank=2)
     general = joins.score_pairs(hot_ratings, factors, factors)
     assert rows_of(salted) == rows_of(broadcast) == rows_of(general)
