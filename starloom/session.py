@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local_roots: dict[str, str] = {}  # temporary folder per local application
+
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``.
@@ -20,9 +22,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="starloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if sc.applicationId not in _local_roots:
+        _local_roots[sc.applicationId] = tempfile.mkdtemp(prefix="starloom-")
+    return _local_roots[sc.applicationId]
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -56,9 +56,12 @@ def test_half_step_equals_dense_solution(spark, small, scaled, rank):
     assert_same(vectors(found), expected)
 
 
+@pytest.mark.parametrize("sums_cost,held_sums", [(0, 40), (10, 8_000_000)])
 @pytest.mark.parametrize("broadcast_bytes", [10_000_000, 0])
-def test_plain_als_equals_dense_iterations(small, broadcast_bytes):
-    """Also without broadcast, where every join shuffles."""
+def test_plain_als_equals_dense_iterations(small, monkeypatch, broadcast_bytes, sums_cost, held_sums):
+    """With and without broadcast; moving partial sums (flushed early) or vectors."""
+    monkeypatch.setattr(plain_als, "SUMS_COST", sums_cost)
+    monkeypatch.setattr(plain_als, "HELD_SUMS", held_sums)
     ratings, rows = small
     rank, reg = 3, 0.1
     run = plain_als.train_plain_als(ratings, rank, 3, reg, seed=5, broadcast_bytes=broadcast_bytes)
