@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from starloom.operators import cleaning
 from starloom.schemas import GENRE_FLAG_COLUMNS

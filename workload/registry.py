@@ -14,11 +14,12 @@ from starloom.plans import model as models
 from starloom.plans import plain_als, preparation, recommend, runs
 from starloom.plans.mllib_als import train_als
 from starloom.plans.model import FactorModel
+from starloom.schemas import GENRE_NAMES
 from starloom.session import scratch_path
 from starloom import sources
 
 from . import dumps, views
-from .views import CTES, sql_bucket, with_views
+from .views import sql_bucket, with_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,14 +75,9 @@ def _ratings_reader(fmt: str) -> Query:
 for _fmt in ("tsv", "dat", "csv"):
     query(f"read_ratings_{_fmt}", f"SELECT {RATING} FROM ratings", "ratings")(_ratings_reader(_fmt))
 
-FLAG_NAMES = [
-    "Action", "Adventure", "Animation", "Children", "Comedy", "Crime", "Documentary", "Drama",
-    "Fantasy", "Film-Noir", "Horror", "Musical", "Mystery", "Romance", "Sci-Fi", "Thriller", "War",
-    "Western", "Unknown",
-]
 GENRES_SQL = (
     "concat_ws('|', "
-    + ", ".join(f"CASE WHEN genre_{i} = 1 THEN '{n}' END" for i, n in enumerate(FLAG_NAMES))
+    + ", ".join(f"CASE WHEN genre_{i} = 1 THEN '{n}' END" for i, n in enumerate(GENRE_NAMES))
     + ")"
 )
 TITLE_CSV_SQL = "title || ', \"the ' || \"movieId\" || '\"'"
