@@ -39,11 +39,12 @@ def map_texts(
     text_col: str,
     make: Callable[[], Callable[[list, list[str]], list]],
     fields: str,
+    batch_rows: int = 256,
 ) -> DataFrame:
     """Rows from (ids, texts) batches; null texts are empty.
 
     make() runs once per task and returns the function that turns a batch into a list of Arrow
-    arrays, one per field after the id. A batch holds at most spark.sql.execution.arrow's rows.
+    arrays, one per field after the id. batch_rows bounds the texts held as Python strings at once.
     """
     source = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
@@ -54,8 +55,8 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):  # bounds the texts held as Python strings
-                part = batch.slice(start, 256)
+            for start in range(0, batch.num_rows, batch_rows):
+                part = batch.slice(start, batch_rows)
                 ids = part.column(0)
                 yield pa.RecordBatch.from_arrays([ids, *work(ids, part.column(1).to_pylist())], names)
 

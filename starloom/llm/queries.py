@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starloom.llm import pii, quality_rules
+from starloom.llm import byte_bpe, language_id, pii, quality_rules
 from starloom.llm.frames import documents, span_columns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,4 +36,18 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *span_columns("found", pii.BASE_KINDS))
 
 
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language_id.learn(docs.filter(~language_id.held_out(F.col("doc_id"))))
+    found = language_id.identify(docs, model)
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN, with_ids=False)
+
+
 SQL: dict[str, str] = {}
