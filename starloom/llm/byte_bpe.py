@@ -115,6 +115,8 @@ class Codec:
             if token[:i] in ranks and token[i:] in ranks
         ]
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        # The rows must stay on the probe side of every join, which keeps their order.
+        self.con.execute("SET disabled_optimizers = 'join_order,build_side_probe_side'")
         merges = pa.table([pa.array([c[0] for c in cuts], pa.int64()), pa.array([c[1] for c in cuts], pa.int32())], ["pair", "rank"])
         words = pa.table([pa.array(ranks.values(), pa.int32()), pa.array([t.hex() for t in ranks])], ["id", "hex"])
         for name, table in (("merges", merges), ("vocabulary", words)):

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import byte_bpe, language_id, pii, quality_rules
+from starloom.llm import byte_bpe, language_id, oracles, pii, quality_rules, secret_scan
 from starloom.llm.frames import documents, span_columns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.with_spans(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", *span_columns("found", secret_scan.BASE_KINDS))
+
+
 @query
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(documents(spark, sf_dir))
@@ -50,4 +56,4 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN, with_ids=False)
 
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = oracles.SQL
