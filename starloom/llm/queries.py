@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import byte_bpe, language_id, oracles, pii, quality_rules, secret_scan
+from starloom.llm import byte_bpe, language_id, oracles, pii, quality_rules, secret_scan, simhash
 from starloom.llm.frames import documents, span_columns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,13 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *span_columns("found", pii.BASE_KINDS))
 
 
+@query
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    shown = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", shown.alias("fingerprint"), "component_id")
+
+
 @query
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
