@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import byte_bpe, language_id, oracles, pii, quality_rules, secret_scan, simhash
+from starloom.llm import byte_bpe, decontaminate, language_id, oracles, pii, quality_rules, secret_scan, simhash
 from starloom.llm.frames import documents, span_columns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,12 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *span_columns("found", secret_scan.BASE_KINDS))
 
 
+@query
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.contaminated(documents(spark, sf_dir), items)
+
+
 @query
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(documents(spark, sf_dir))
