@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.frames import free_name, map_rows
+
 Q = 8
 BUDGET = 0.1
 BLOCK = 4_000_000
@@ -247,3 +249,24 @@ def contaminated(
         return source.mapInArrow(run, schema)
 
     return reduce(DataFrame.union, map(searched, blocks(items, item_id_col, item_text_col, block)))
+
+
+def clean(
+    docs: DataFrame,
+    items: DataFrame,
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+    block: int = BLOCK,
+) -> DataFrame:
+    """Rows of docs without a matching region, one narrow pass per block of items."""
+    flag = free_name(docs, "contaminated")
+
+    def without(rows: DataFrame, some: list[tuple[int, str]]) -> DataFrame:
+        def make():
+            index = Items([i for i, _ in some], [t for _, t in some])
+            return lambda texts: [pa.array([bool(index.find(text)) for text in texts], pa.bool_())]
+
+        return map_rows(rows, text_col, make, f"{flag} boolean").filter(~F.col(flag)).drop(flag)
+
+    return reduce(without, blocks(items, item_id_col, item_text_col, block), docs)

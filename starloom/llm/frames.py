@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: White space of the word rule `[^\x20\x09-\x0D]+`, fixed.
 SPACES = " \t\n\x0b\x0c\r"
@@ -63,6 +64,33 @@ def map_texts(
     return source.mapInArrow(run, f"doc_id long, {fields}")
 
 
+def map_rows(
+    docs: DataFrame,
+    text_col: str,
+    make: Callable[[], Callable[[list[str]], list]],
+    fields: str,
+    batch_rows: int = 256,
+) -> DataFrame:
+    """docs with the fields that make()'s function gives for batches of texts; null texts are empty.
+
+    Rows keep all their columns, so nothing has to be joined back. The names of the fields must be
+    free in docs.
+    """
+    added = StructType.fromDDL(fields)
+    schema = StructType([*docs.schema.fields, *added.fields])
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            for start in range(0, batch.num_rows, batch_rows):
+                part = batch.slice(start, batch_rows)
+                texts = [t or "" for t in part.column(place).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, *work(texts)], schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
 def split_fields(fields: str) -> list[str]:
     """Top-level parts of a DDL field list."""
     parts, depth, begin = [], 0, 0

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.frames import map_texts
+from starloom.llm.frames import free_name, map_rows, map_texts
 
 MAX_ROWS = 20_000
 MAX_WORDS = 60_000
@@ -164,3 +164,19 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         return work
 
     return map_texts(docs, id_col, text_col, make, "lang_pred string, score double")
+
+
+def accepted(docs: DataFrame, model: Model, least_score: float = 0.5, text_col: str = "text") -> DataFrame:
+    """Rows of docs whose text has a language, predicted with at least least_score."""
+
+    def make():
+        scorer = Scorer(model)
+
+        def work(texts: list[str]) -> list[pa.Array]:
+            found = [scorer.predict(text) for text in texts]
+            return [pa.array([language != UNKNOWN and score >= least_score for language, score in found], pa.bool_())]
+
+        return work
+
+    flag = free_name(docs, "accepted")
+    return map_rows(docs, text_col, make, f"{flag} boolean").filter(F.col(flag)).drop(flag)

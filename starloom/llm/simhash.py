@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.frames import map_texts
+from starloom.llm.frames import free_name, map_rows, map_texts
 from starloom.session import cut_lineage
 
 BITS = 64
@@ -245,16 +245,49 @@ def star(edges: DataFrame, chosen) -> DataFrame:
     return moved.union(own).filter("src <> dst").distinct()
 
 
+def print_components(prints: DataFrame, budget: int = 3) -> DataFrame:
+    """fp and root, the least fingerprint reachable over links, for all fingerprints in prints."""
+    distinct = cut_lineage(prints.select("fp").distinct())
+    roots = components(links(distinct, budget))
+    joined = distinct.join(roots, F.col("fp") == F.col("node"), "left")
+    return joined.select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = 3, shingle: int = 3
 ) -> DataFrame:
     """doc_id, fp and component_id, the smallest id reachable over links."""
     prints = cut_lineage(fingerprints(docs, id_col, text_col, shingle))
-    distinct = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(links(distinct.select("fp"), budget))
-    member = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"), "first_id"
-    )
+    member = print_components(prints, budget)
+    first = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    member = cut_lineage(member.join(first, "fp"))
     named = member.groupBy("root").agg(F.min("first_id").alias("component_id"))
     by_print = member.select("fp", "root").join(named, "root").select("fp", "component_id")
     return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = 3, shingle: int = 3
+) -> DataFrame:
+    """docs with one row left of every component: the one of the smallest id, nulls last.
+
+    Rows with the same id and fingerprint are one document repeated. Survivors are found on
+    fingerprints alone; texts move once, in the join that keeps them.
+    """
+    prints = cut_lineage(fingerprints(docs, id_col, text_col, shingle))
+    first = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    order = F.struct(F.col("first_id").isNull(), F.col("first_id").alias("id"), F.col("fp").alias("fp"))
+    kept = print_components(prints, budget).join(first, "fp").groupBy("root").agg(F.min(order).alias("kept"))
+    kept_id, kept_fp = free_name(docs, "kept_id"), free_name(docs, "kept_fp")
+    kept = kept.select(F.col("kept.id").alias(kept_id), F.col("kept.fp").alias(kept_fp))
+
+    def make():
+        def work(texts: list[str]) -> list[pa.Array]:
+            return [pa.array(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))]
+
+        return work
+
+    fp = free_name(docs, "fp")
+    marked = map_rows(docs, text_col, make, f"{fp} long")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(kept_id)) & (F.col(fp) == F.col(kept_fp))
+    return marked.join(kept, same, "left_semi").dropDuplicates([id_col, fp]).drop(fp)
