@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starloom.llm import quality_rules, secret_scan
+from starloom.llm import line_dedup, quality_rules, secret_scan
 
 SPACE = r"[ \t\n\x0b\f\r]"
 
@@ -69,4 +69,26 @@ SELECT doc_id, {counts}, sha256({shown.format(base)}) AS base_sha256, {shown.for
 """
 
 
-SQL = {"op1_quality_rules": quality_sql(), "op2_secret_scan": secret_sql()}
+def line_sql() -> str:
+    return rf"""
+WITH texts AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (
+  SELECT row, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no
+  FROM texts),
+placed AS (
+  SELECT *, (sum(len(line) + 1) OVER (PARTITION BY row ORDER BY no) - len(line) - 1)::BIGINT AS start,
+    trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS unit
+  FROM lines),
+ranked AS (
+  SELECT *, len(string_split(unit, ' ')) >= {line_dedup.LEAST_WORDS}
+    AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, no) > 1 AS removed
+  FROM placed)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed,
+  coalesce(sum(len(line)) FILTER (removed), 0)::BIGINT AS n_removed_chars,
+  coalesce(string_agg(start || ':' || (start + len(line)), ',' ORDER BY no) FILTER (removed), '') AS spans,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT removed), '')) AS kept_sha256
+FROM ranked GROUP BY row
+"""
+
+
+SQL = {"op1_quality_rules": quality_sql(), "op2_secret_scan": secret_sql(), "op4_line_dedup": line_sql()}

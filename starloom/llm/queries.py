@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import byte_bpe, decontaminate, language_id, oracles, pii, quality_rules, secret_scan, simhash
+from starloom.llm import byte_bpe, decontaminate, language_id, line_dedup, oracles, pii, quality_rules, secret_scan, simhash
 from starloom.llm.frames import documents, span_columns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,18 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *span_columns("found", secret_scan.BASE_KINDS))
 
 
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.without_repeated_lines(documents(spark, sf_dir))
+    spans = F.transform("removed", lambda s: F.concat_ws(":", s["start"], s["stop"]))
+    sizes = F.transform("removed", lambda s: (s["stop"] - s["start"]).cast("long"))
+    return found.select(
+        "doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"),
+        F.aggregate(sizes, F.lit(0).cast("long"), lambda a, b: a + b).alias("n_removed_chars"),
+        F.concat_ws(",", spans).alias("spans"), F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
