@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import byte_bpe, decontaminate, language_id, line_dedup, oracles, pii, quality_rules, secret_scan, simhash
+from starloom.llm import byte_bpe, decontaminate, language_id, license_scan, line_dedup, oracles, pii, quality_rules, secret_scan, simhash
 from starloom.llm.frames import documents, span_columns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,11 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(documents(spark, sf_dir), items)
 
 
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.find_licenses(documents(spark, sf_dir))
+
+
 @query
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(documents(spark, sf_dir))
