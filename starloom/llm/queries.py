@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import byte_bpe, decontaminate, language_id, license_scan, line_dedup, oracles, pii, quality_rules, secret_scan, simhash
+from starloom.llm import byte_bpe, decontaminate, language_id, license_scan, line_dedup, oracles, pii, quality_rules, repeated_bytes, secret_scan, simhash
 from starloom.llm.frames import documents, span_columns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,16 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *span_columns("found", secret_scan.BASE_KINDS))
 
 
+@query
+def op3_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_bytes.without_repeats(documents(spark, sf_dir))
+    sizes = F.transform("spans", lambda s: s["stop"] - s["start"])
+    return found.select(
+        "doc_id", "n_bytes", F.aggregate(sizes, F.lit(0).cast("long"), lambda a, b: a + b).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.without_repeated_lines(documents(spark, sf_dir))
