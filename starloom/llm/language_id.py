@@ -69,8 +69,10 @@ def log_rows(counts: dict[str, dict[str, int]], languages: tuple[str, ...]) -> t
     for row, by_language in enumerate(counts.values()):
         for language, n in by_language.items():
             table[row, place[language]] += n
-    logs = np.log(table / table.sum(axis=0)) if len(counts) else table
-    return {entry: i for i, entry in enumerate(counts)}, logs - logs.mean(axis=1, keepdims=True)
+    if table.size:
+        logs = np.log(table / table.sum(axis=0))
+        table = logs - logs.mean(axis=1, keepdims=True)
+    return {entry: i for i, entry in enumerate(counts)}, table
 
 
 def grams_of(word: str, order: int) -> list[str]:
@@ -166,7 +168,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return map_texts(docs, id_col, text_col, make, "lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, model: Model, least_score: float = 0.5, text_col: str = "text") -> DataFrame:
+def accepted(docs: DataFrame, model: Model, least_score: float = 0.0, text_col: str = "text") -> DataFrame:
     """Rows of docs whose text has a language, predicted with at least least_score."""
 
     def make():

@@ -29,7 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.frames import let
+from starloom.llm.frames import free_name, let
 
 #: Alternatives that a literal may have before it is taken as unknown.
 MOST_STRINGS = 64
@@ -213,19 +213,24 @@ def with_spans(
     text_col: str = "text",
     rules: tuple[Rule, ...] = RULES,
 ) -> DataFrame:
-    """docs with an array of spans (start, rank, stop, kind) in code points."""
+    """docs with an array of spans (start, rank, stop, kind) in code points.
+
+    spans_col must be free in docs; `frames.free_name` gives such a name.
+    """
+    if free_name(docs, spans_col) != spans_col:
+        raise ValueError(f"docs has a column {spans_col} already")
     queries = {i: trigram_query(rule.pattern) for i, rule in enumerate(rules)}
     scan = {i for i, query in queries.items() if query is None}
     queries = {i: query for i, query in queries.items() if query is not None}
     trigrams = sorted(reduce(set.union, (clause for query in queries.values() for clause in query), set()))
-    mask = spans_col + "_rules"
+    mask, doc = free_name(docs, "rule_mask"), free_name(docs, "candidate")
     hits = candidates(postings(docs, id_col, text_col, trigrams), queries).select(
-        F.col("doc").alias(spans_col + "_doc"), F.col("rules").alias(mask)
+        F.col("doc").alias(doc), F.col("rules").alias(mask)
     )
-    joined = docs.join(hits, F.col(id_col).eqNullSafe(F.col(spans_col + "_doc")), "left")
+    joined = docs.join(hits, F.col(id_col).eqNullSafe(F.col(doc)), "left")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     asked = F.coalesce(F.col(mask), F.lit(0))
-    return joined.withColumn(spans_col, verified(text, asked, rules, scan)).drop(spans_col + "_doc", mask)
+    return joined.withColumn(spans_col, verified(text, asked, rules, scan)).drop(doc, mask)
 
 
 def redacted(text: Column, spans: Column) -> Column:
