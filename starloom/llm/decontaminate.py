@@ -82,16 +82,16 @@ class Items:
     def __init__(self, ids: list[int], texts: list[str]):
         self.ids = ids
         self.codes = [codes(t) for t in texts]
-        self.size = np.array([len(c) for c in self.codes])
+        self.size = np.array([len(c) for c in self.codes], np.int64)
         most = np.maximum((self.size - Q) // Q, 0)  # keeps the bound above zero
         self.edits = np.minimum((self.size * BUDGET).astype(int), most)
-        self.shift = np.array([max(int(k) - 1, 0).bit_length() for k in self.edits])
+        self.shift = np.array([max(int(k) - 1, 0).bit_length() for k in self.edits], np.int64)
         self.bound = self.size - Q + 1 - self.edits * Q
         self.short = [i for i, size in enumerate(self.size) if size < Q]
         self.reach = int((self.size + 3 * (1 << self.shift) + 2 * self.edits).max(initial=0)) + Q
         hashes = [gram_hashes(c) for c in self.codes]
         every = np.concatenate([np.empty(0, np.uint64), *hashes])
-        item = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
+        item = np.repeat(np.arange(len(hashes)), np.array([len(h) for h in hashes], np.int64))
         place = np.concatenate([np.empty(0, int), *(np.arange(len(h)) for h in hashes)])
         order = np.argsort(every, kind="stable")
         self.item, self.place = item[order], place[order]
