@@ -1,6 +1,4 @@
-from .hashing import bucket32, fraction_bucket, resolution_for
+from .hashing import bucket52, threshold
 from .vectors import as_double_vector, cosine, dot
 
-__all__ = [
-    "as_double_vector", "bucket32", "cosine", "dot", "fraction_bucket", "resolution_for",
-]
+__all__ = ["as_double_vector", "bucket52", "cosine", "dot", "threshold"]

@@ -21,19 +21,17 @@ def hex_window(hex_text: Column, start: int, length: int) -> Column:
     return F.conv(F.substring(hex_text, start, length), 16, 10).cast("bigint")
 
 
-def bucket32(columns: Iterable[str], seed: int | None = None) -> Column:
-    """Uniform bigint in [0, 2^32) from the key columns."""
-    return hex_window(digest(columns, seed), 1, 8)
+def bucket52(columns: Iterable[str], domain: str, seed: int | None = None) -> Column:
+    """Uniform bigint in [0, 2^52) from the key columns.
 
+    ``domain`` names what the draw is for. Draws of different domains are independent, also with
+    the same seed, so a sample can be split or folded.
+    """
+    prefix = domain if seed is None else f"{domain}:{seed}"
+    parts = [F.lit(prefix), *[F.col(c).cast("string") for c in columns]]
+    return hex_window(F.md5(F.concat_ws(":", *parts)), 1, 13)
 
-def resolution_for(fractions: Iterable[float]) -> int:
-    """100 when every fraction is a whole percentage, else one million."""
-    return 100 if all(abs(f * 100 - round(f * 100)) < 1e-9 for f in fractions) else 1_000_000
 
-
-def fraction_bucket(columns: Iterable[str], resolution: int, seed: int | None = None) -> Column:
-    return F.pmod(bucket32(columns, seed), F.lit(resolution))
-
-
-def threshold(fraction: float, resolution: int) -> int:
-    return round(fraction * resolution)
+def threshold(fraction: float) -> int:
+    """The bucket below which a share of ``fraction`` lies; 52 bits resolve any fraction of use."""
+    return round(fraction * (1 << 52))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.vectors import as_double_vector, dot
 from ..schemas import Columns
@@ -52,11 +52,13 @@ def score_pairs(
     how: str = "inner",
     rank: int | None = None,
     cols: Columns = COLS,
+    dim_bytes: dict[str, int | None] | None = None,
 ) -> DataFrame:
     """``pairs`` with the dot product of their user and item vectors.
 
     Factor tables are (id, features). ``inner`` leaves out pairs with an unknown id; ``left`` keeps
-    them with a null prediction. Pass ``rank`` to keep the product in generated code.
+    them with a null prediction. Pass ``rank`` to keep the product in generated code, and the sizes
+    of the factor tables by key column, if known, to have small ones broadcast.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
@@ -71,7 +73,7 @@ def score_pairs(
         cols.item: vectors(item_factors, cols.item, "_v"),
     }
     score = dot(F.col("_u"), F.col("_v"), rank)
-    return skew_joins(pairs, dims, how).select(*pairs.columns, score.alias(cols.prediction))
+    return skew_joins(pairs, dims, how, dim_bytes=dim_bytes).select(*pairs.columns, score.alias(cols.prediction))
 
 
 def recommendation_hits(
@@ -89,8 +91,11 @@ def popularity_lookup(ratings: DataFrame, counts: DataFrame, cols: Columns = COL
 
     Ratings are counted per item before the join, so the join sees one row per item.
     """
+    def wide(c) -> Column:  # an item's product of two counts can exceed a bigint
+        return (F.col(c) if isinstance(c, str) else c).cast("decimal(19,0)")
+
     per_item = ratings.groupBy(cols.item).agg(F.count("*").alias("_rows"))
     return per_item.join(counts.select(cols.item, "count"), cols.item).agg(
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("hit_rows"),
-        F.coalesce(F.sum(F.col("_rows") * F.col("count")), F.lit(0)).alias("lookup_total"),
+        F.coalesce(F.sum(wide("_rows") * wide("count")), wide(F.lit(0))).cast("decimal(38,0)").alias("lookup_total"),
     )

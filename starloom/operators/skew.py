@@ -65,18 +65,23 @@ def skew_join(
     broadcast_bytes: int = BROADCAST_BYTES,
     salts: int | None = None,
     hot: list | None = None,
+    dim_bytes: int | None = None,
 ) -> DataFrame:
     """Join a fact table with a table that is unique (or nearly so) on ``key``.
 
-    ``how`` is inner, left, left_semi or left_anti. A ``dim`` whose estimated size is within
-    ``broadcast_bytes`` is broadcast. Otherwise both sides shuffle on (key, salt), where the salt
-    splits the fact rows of hot keys over all shuffle partitions. Pass ``hot`` to reuse a list that
-    ``hot_keys`` found earlier.
+    ``how`` is inner, left, left_semi or left_anti. A ``dim`` of at most ``broadcast_bytes`` is
+    broadcast; its size is ``dim_bytes`` where the caller knows it, else Catalyst's estimate.
+    Otherwise both sides shuffle on the key, and adaptive execution splits the fact partitions of
+    hot keys. With a list of hot keys of a stored table (see ``hot_keys``) the shuffle is on
+    (key, salt) instead, which also spreads hot keys on the map side of later steps. No job runs
+    while the join is planned.
     """
-    if estimated_bytes(dim) <= broadcast_bytes:
+    size = estimated_bytes(dim) if dim_bytes is None else dim_bytes
+    if size <= broadcast_bytes:
         return fact.join(F.broadcast(dim), key, how)
+    if hot is None:
+        return fact.join(dim, key, how)
     salts = salts or default_salts(fact)
-    hot = hot_keys(fact, key)[key] if hot is None else hot
     joined = add_salt(fact, key, hot, salts).join(
         replicate(dim, key, hot, salts), [key, SALT], how
     )
@@ -89,13 +94,10 @@ def skew_joins(
     how: str = "inner",
     *,
     broadcast_bytes: int = BROADCAST_BYTES,
+    dim_bytes: dict[str, int | None] | None = None,
 ) -> DataFrame:
-    """``skew_join`` with several tables, each on its own key column of ``fact``.
-
-    The hot keys of all columns that need a shuffle come from one scan of ``fact``.
-    """
-    shuffled = [k for k, dim in dims.items() if estimated_bytes(dim) > broadcast_bytes]
-    hot = hot_keys(fact, *shuffled) if shuffled else {}
+    """``skew_join`` with several tables, each on its own key column of ``fact``."""
+    known = dim_bytes or {}
     for key, dim in dims.items():
-        fact = skew_join(fact, dim, key, how, broadcast_bytes=broadcast_bytes, hot=hot.get(key))
+        fact = skew_join(fact, dim, key, how, broadcast_bytes=broadcast_bytes, dim_bytes=known.get(key))
     return fact

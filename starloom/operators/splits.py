@@ -7,14 +7,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.hashing import (
-    bucket32, digest, fraction_bucket, resolution_for, threshold,
-)
+from ..functions.hashing import bucket52, digest, threshold
 from ..schemas import Columns
 from ..session import cut_lineage
 from .skew import skew_joins
 
 COLS = Columns()
+# Default sample fractions.
 DEFAULT_FRACTIONS = (0.01, 0.1, 0.25, 0.5, 0.75, 1.0)
 COPIES_PER_TASK = 1_000_000
 
@@ -27,8 +26,7 @@ def split_bernoulli(
     Two complementary narrow filters. Repeated pairs fall on the same side, so no test pair leaks
     into training.
     """
-    resolution = resolution_for([p])
-    in_train = fraction_bucket([cols.user, cols.item], resolution, seed) < threshold(p, resolution)
+    in_train = bucket52([cols.user, cols.item], "split", seed) < threshold(p)
     return ratings.where(in_train), ratings.where(~in_train)
 
 
@@ -46,13 +44,10 @@ def _repeat(df: DataFrame, times: str) -> DataFrame:
     )
 
 
-def _locate(counts: DataFrame, wanted: int) -> tuple[str, int]:
-    """The hash prefix in which the running count reaches ``wanted``, and the count before it.
-
-    ``counts`` is (prefix, n) with at most 65,536 rows.
-    """
+def _locate(counts: list[tuple[str, int]], wanted: int) -> tuple[str, int]:
+    """The hash prefix in which the running count reaches ``wanted``, and the count before it."""
     below = 0
-    for prefix, n in sorted(tuple(row) for row in counts.collect()):
+    for prefix, n in sorted(counts):
         if below + n >= wanted:
             return prefix, below
         below += n
@@ -72,8 +67,8 @@ def split_exact(
     columns = ratings.columns
     hashed = ratings.withColumn("_md5", digest(columns, seed))
     head, longer = F.substring("_md5", 1, 4), F.substring("_md5", 1, 8)
-    head_counts = hashed.groupBy(head.alias("prefix")).agg(F.count("*").alias("n"))
-    n_rows = ratings.count()
+    head_counts = [tuple(r) for r in hashed.groupBy(head.alias("prefix")).agg(F.count("*")).collect()]
+    n_rows = sum(n for _, n in head_counts)
     if not n_rows:
         return ratings, ratings
     wanted = math.ceil(round(test_size * n_rows, 6))
@@ -82,7 +77,7 @@ def split_exact(
     edge = cut_lineage(
         hashed.where(head == cut).groupBy("_md5", *columns).agg(F.count("*").alias("_n"))
     )
-    tail_counts = edge.groupBy(longer.alias("prefix")).agg(F.sum("_n").alias("n"))
+    tail_counts = [tuple(r) for r in edge.groupBy(longer.alias("prefix")).agg(F.sum("_n")).collect()]
     last_cut, last_below = _locate(tail_counts, wanted - below)
     remaining = wanted - below - last_below
     order = Window.partitionBy(longer).orderBy("_md5", *columns)
@@ -101,11 +96,7 @@ def split_exact(
 
 
 def sample_fraction(
-    ratings: DataFrame,
-    fraction: float,
-    seed: int = 42,
-    cols: Columns = COLS,
-    resolution: int | None = None,
+    ratings: DataFrame, fraction: float, seed: int = 42, cols: Columns = COLS
 ) -> DataFrame:
     """Sample without replacement by key hash; ``fraction >= 1`` is the whole table.
 
@@ -113,9 +104,7 @@ def sample_fraction(
     """
     if fraction >= 1:
         return ratings
-    resolution = resolution or resolution_for([fraction])
-    bucket = fraction_bucket([cols.user, cols.item], resolution, seed)
-    return ratings.where(bucket < threshold(fraction, resolution))
+    return ratings.where(bucket52([cols.user, cols.item], "sample", seed) < threshold(fraction))
 
 
 def sample_ladder(
@@ -125,8 +114,7 @@ def sample_ladder(
     cols: Columns = COLS,
 ) -> list[tuple[float, DataFrame]]:
     """One growing sample per fraction, to train on."""
-    resolution = resolution_for(fractions)
-    return [(f, sample_fraction(ratings, f, seed, cols, resolution)) for f in fractions]
+    return [(f, sample_fraction(ratings, f, seed, cols)) for f in fractions]
 
 
 def sample_ladder_counts(
@@ -140,11 +128,10 @@ def sample_ladder_counts(
     Conditional counts in one aggregate: no row is copied per fraction, and only one row per map
     task is shuffled.
     """
-    resolution = resolution_for(fractions)
-    bucket = fraction_bucket([cols.user, cols.item], resolution, seed)
+    bucket = bucket52([cols.user, cols.item], "sample", seed)
     counts = ratings.select(bucket.alias("b")).agg(
         *[
-            F.count_if(F.col("b") < threshold(min(f, 1.0), resolution)).alias(f"n{i}")
+            F.count_if(F.col("b") < threshold(min(f, 1.0))).alias(f"n{i}")
             for i, f in enumerate(fractions)
         ]
     )
@@ -176,5 +163,5 @@ def kfold_assign(
 ) -> DataFrame:
     """Add the fold number 0..k-1 of every row; repeated pairs share a fold."""
     return ratings.withColumn(
-        fold_col, F.pmod(bucket32([cols.user, cols.item], seed), F.lit(k)).cast("int")
+        fold_col, F.pmod(bucket52([cols.user, cols.item], "fold", seed), F.lit(k)).cast("int")
     )

@@ -20,13 +20,22 @@ class FactorModel:
     items: DataFrame
     rank: int
     cols: Columns = Columns()
+    n_users: int | None = None  # row counts, where known; they decide what may be broadcast
+    n_items: int | None = None
+
+    def side_bytes(self) -> dict[str, int | None]:
+        """Estimated bytes of both tables, by key column; None where the count isn't known."""
+        row = 8 * self.rank + 64
+        counts = {self.cols.user: self.n_users, self.cols.item: self.n_items}
+        return {key: None if n is None else n * row for key, n in counts.items()}
 
 
 def from_mllib(model: ALSModel, cols: Columns = Columns()) -> FactorModel:
     def factors(table: DataFrame) -> DataFrame:
-        return table.select("id", as_double_vector(F.col("features")).alias("features"))
+        return table.select(F.col("id").cast("bigint").alias("id"), as_double_vector(F.col("features")).alias("features"))
 
-    return FactorModel(factors(model.userFactors), factors(model.itemFactors), model.rank, cols)
+    users, items = factors(model.userFactors), factors(model.itemFactors)
+    return FactorModel(users, items, model.rank, cols, users.count(), items.count())
 
 
 def require_model(model: FactorModel | None) -> FactorModel:
@@ -43,7 +52,8 @@ def predict(model: FactorModel, pairs: DataFrame, cold_start: str = "drop") -> D
         raise ValueError("cold_start must be 'drop', 'zero' or 'nan'")
     how = "inner" if cold_start == "drop" else "left"
     scored = score_pairs(
-        pairs, model.users, model.items, how=how, rank=model.rank, cols=model.cols
+        pairs, model.users, model.items, how=how, rank=model.rank, cols=model.cols,
+        dim_bytes=model.side_bytes(),
     )
     if cold_start == "drop":
         return scored

@@ -175,8 +175,11 @@ def als_half_step(
     entity, other = (
         (cols.user, cols.item) if solve_for == "user" else (cols.item, cols.user)
     )
+    if reg <= 0:
+        raise ValueError("reg must be above zero; without it an entity with few ratings has no unique solution")
+    ratings = ratings.select(entity, other, cols.rating).dropna()
     rated = skew_join(
-        ratings.select(entity, other, cols.rating), factors.withColumnRenamed("id", other), other
+        ratings, factors.withColumnRenamed("id", other), other
     )
     hot = hot_keys(ratings, entity)[entity]
     return solve_rated(rated, entity, cols.rating, rank, reg, scaled, gather=hot)
@@ -289,4 +292,4 @@ def train_plain_als(
     finally:
         by_user.unpersist()
     table = spark.createDataFrame(history, "iteration INT, rmse DOUBLE")
-    return PlainAlsRun(FactorModel(users, items, rank, cols), table)
+    return PlainAlsRun(FactorModel(users, items, rank, cols, n_users, n_items), table)

@@ -2,36 +2,50 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.cleaning import clean_movies, clean_ratings, clean_users
 from ..operators.splits import split_exact
 from ..operators.stats import split_report
+from ..schemas import GENRE_NAMES
 from ..sources.raw import DATASET_SIZES, dataset_folder, read_dataset
 from ..sources.sinks import write_csv, write_id_mappings, write_parquet, write_training_triples
 
 
 def preprocess(
-    spark: SparkSession, root: str, size: str, out: str, test_size: float = 0.2, seed: int = 42
+    spark: SparkSession,
+    root: str,
+    size: str,
+    out: str,
+    test_size: float = 0.2,
+    seed: int = 42,
+    names: Sequence[str] = GENRE_NAMES,
 ) -> DataFrame:
     """Prepare one dataset below ``out/<size>`` and return its one-row report.
 
+    The report counts the rating rows that were read, kept and dropped as unreadable; they are
+    counted while the cleaned ratings are written. ``names`` are the genre names of a dump whose
+    genres come as flags.
+
     The raw text is parsed once, into Parquet. The split and every other output read that Parquet.
     """
     base = f"{out.rstrip('/')}/{size}"
     tables = f"{base}/tables"
     ratings, movies, users = read_dataset(spark, root, size)
+    read = Observation()
     cleaned = {
-        "ratings": clean_ratings(ratings),
-        "movies": clean_movies(movies),
+        "ratings": clean_ratings(ratings.observe(read, F.count("*").alias("rows_read"))),
+        "movies": clean_movies(movies, names),
         "users": clean_users(users),
     }
     stored = {}
     for name, table in cleaned.items():
         write_parquet(table, f"{tables}/{name}.parquet")
         stored[name] = spark.read.parquet(f"{tables}/{name}.parquet")
+        if name == "ratings":
+            rows_read = read.get["rows_read"]
         write_csv(stored[name], f"{base}/interim/cleaned_{name}.csv")
 
     train, test = split_exact(stored["ratings"], test_size, seed)
@@ -46,9 +60,14 @@ def preprocess(
     processed = {"train": "train_ratings", "test": "test_ratings", "movies": "movies", "users": "users"}
     for name, source in processed.items():
         write_csv(stored[source], f"{base}/processed/{name}.csv")
-    return split_report(
+    report = split_report(
         stored["train_ratings"], stored["test_ratings"], stored["users"], stored["movies"]
     )
+    rows_read = F.lit(rows_read).cast("bigint")
+    return report.select(
+        "*", rows_read.alias("rows_read"), F.col("total_ratings").alias("rows_kept"),
+        (rows_read - F.col("total_ratings")).alias("rows_dropped"),
+    )
 
 
 def available_sizes(spark: SparkSession, root: str) -> list[str]:

@@ -23,6 +23,9 @@ from .model import FactorModel, require_model
 
 BLOCK_ROWS = 8192
 SHARD_ROWS = 65536
+#: Bytes of vectors in a block or shard of a model's tables. Larger tiles mean fewer copies of either
+#: table in the shuffle; a task multiplies them in pieces of SCORES_AT_ONCE.
+TILE_BYTES = 32 * 1024 * 1024
 PAIRS_PER_TASK = 4_000_000
 SCORES_AT_ONCE = 4_000_000
 
@@ -116,6 +119,10 @@ def _block_matcher(
     return match
 
 
+def tile_rows(rank: int) -> int:
+    return max(1024, TILE_BYTES // (8 * rank))
+
+
 def top_matches(
     queries: DataFrame,
     targets: DataFrame,
@@ -146,7 +153,8 @@ def top_matches(
     n_targets = max(1, targets.count() if target_count is None else target_count)
     cores = spark.sparkContext.defaultParallelism
     shards = math.ceil(n_targets / shard_rows)
-    blocks = max(math.ceil(n_queries / block_rows), min(4 * cores, math.ceil(n_queries / 64)))
+    wanted = math.ceil(4 * cores / shards)  # blocks that keep every core busy
+    blocks = max(math.ceil(n_queries / block_rows), min(wanted, math.ceil(n_queries / 64)))
     if exclude is not None:  # keep the excluded pairs of one block and shard in bounds as well
         n_pairs = exclude.count() if exclude_count is None else exclude_count
         blocks = max(blocks, min(n_queries, math.ceil(n_pairs / (shards * PAIRS_PER_TASK))))
@@ -225,6 +233,10 @@ def _chosen(factors: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     return factors.join(wanted, "id", "left_semi")
 
 
+def _tiles(model: FactorModel) -> dict[str, int]:
+    return dict.fromkeys(("block_rows", "shard_rows"), tile_rows(model.rank))
+
+
 def recommend_excluding_rated(
     model: FactorModel,
     ratings: DataFrame,
@@ -235,9 +247,11 @@ def recommend_excluding_rated(
     """(user, item, prediction): the ``n`` best items the user has not rated.
 
     Users and items are those occurring in ``ratings``. A user with fewer than n unrated items gets
-    fewer rows. ``ties`` as in ``top_n_per_user``.
+    fewer rows. ``ties`` as in ``top_n_per_user``. The default returns all items tied with the n-th;
+    for a user vector of zeros that is the whole catalogue, so ask for "row" where that can occur.
     """
     cols = require_model(model).cols
+    sizes = _tiles(model) | sizes
     pairs = ratings.select(F.col(cols.user).alias("left_id"), F.col(cols.item).alias("right_id"))
     matches = top_matches(
         _chosen(model.users, ratings, cols.user),
@@ -245,8 +259,8 @@ def recommend_excluding_rated(
         n,
         exclude=pairs,
         ties=ties,
-        query_count=sizes.pop("query_count", None) or model.users.count(),
-        target_count=sizes.pop("target_count", None) or model.items.count(),
+        query_count=sizes.pop("query_count", None) or model.n_users or model.users.count(),
+        target_count=sizes.pop("target_count", None) or model.n_items or model.items.count(),
         **sizes,
     )
     return _named(matches, cols.user, cols.item, cols.prediction)
@@ -255,6 +269,7 @@ def recommend_excluding_rated(
 def recommend_all_users(model: FactorModel, n: int = 10, **options) -> DataFrame:
     """(user, item, prediction): the ``n`` best items of every user, rated ones included."""
     cols = require_model(model).cols
+    options = _tiles(model) | {"query_count": model.n_users, "target_count": model.n_items} | options
     return _named(
         top_matches(model.users, model.items, n, **options), cols.user, cols.item, cols.prediction
     )
@@ -263,6 +278,7 @@ def recommend_all_users(model: FactorModel, n: int = 10, **options) -> DataFrame
 def recommend_for_users(model: FactorModel, ids: DataFrame, n: int = 10, **options) -> DataFrame:
     """The same for the users in ``ids``; an unknown id gives no row."""
     cols = require_model(model).cols
+    options = _tiles(model) | {"target_count": model.n_items} | options
     matches = top_matches(_chosen(model.users, ids, cols.user), model.items, n, **options)
     return _named(matches, cols.user, cols.item, cols.prediction)
 
@@ -272,6 +288,7 @@ def recommend_users_for_items(
 ) -> DataFrame:
     """(item, user, prediction): the ``n`` users who would rate each item highest."""
     cols = require_model(model).cols
+    options = _tiles(model) | {"target_count": model.n_users} | options
     matches = top_matches(_chosen(model.items, ids, cols.item), model.users, n, **options)
     return _named(matches, cols.item, cols.user, cols.prediction)
 

@@ -25,24 +25,25 @@ def _struct(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
-RATINGS = _struct(userId=INT, movieId=INT, rating=DOUBLE, timestamp=LONG)
-TRIPLES = _struct(userId=INT, movieId=INT, rating=DOUBLE)
-MOVIES = _struct(movieId=INT, title=STRING, genres=STRING)
-USERS = _struct(userId=INT, gender=STRING, age=INT)
-RECOMMENDATIONS = _struct(userId=INT, movieId=INT, prediction=DOUBLE)
+RATINGS = _struct(userId=LONG, movieId=LONG, rating=DOUBLE, timestamp=LONG)
+TRIPLES = _struct(userId=LONG, movieId=LONG, rating=DOUBLE)
+MOVIES = _struct(movieId=LONG, title=STRING, genres=STRING)
+USERS = _struct(userId=LONG, gender=STRING, age=INT)
+RECOMMENDATIONS = _struct(userId=LONG, movieId=LONG, prediction=DOUBLE)
 
 N_GENRE_FLAGS = 19
 GENRE_FLAG_COLUMNS = [f"genre_{i}" for i in range(N_GENRE_FLAGS)]
 
-# Raw layouts. The two user files carry the same columns in different orders.
+# Raw layouts. The two user files carry the same columns in different orders.
 MOVIES_WIDE = _struct(
-    movieId=INT, title=STRING, release_date=STRING, video_release_date=STRING, IMDb_URL=STRING,
+    movieId=LONG, title=STRING, release_date=STRING, video_release_date=STRING, IMDb_URL=STRING,
     **dict.fromkeys(GENRE_FLAG_COLUMNS, INT),
 )
-USERS_PIPE = _struct(userId=INT, age=INT, gender=STRING, occupation=STRING, zip_code=STRING)
-USERS_DAT = _struct(userId=INT, gender=STRING, age=INT, occupation=INT, zip_code=STRING)
+USERS_PIPE = _struct(userId=LONG, age=INT, gender=STRING, occupation=STRING, zip_code=STRING)
+USERS_DAT = _struct(userId=LONG, gender=STRING, age=INT, occupation=INT, zip_code=STRING)
 USER_DETAIL_COLUMNS = ["userId", "age", "gender", "occupation", "zip_code"]
 
+# Names of the recorded run metrics.
 RUN_METRICS = _struct(
     training_time=DOUBLE, per_iteration_time=DOUBLE, tuning_time=DOUBLE, total_time=DOUBLE,
     num_ratings=LONG, num_users=LONG, num_items=LONG, rmse=DOUBLE, mae=DOUBLE,

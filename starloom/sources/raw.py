@@ -5,7 +5,6 @@ A field that does not parse becomes null; ``clean_ratings`` drops and counts suc
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.cleaning import synthesize_users
@@ -67,14 +66,14 @@ def read_users(spark: SparkSession, path: str, fmt: str) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists on any file system Spark can read."""
+    """Whether a path exists on any file system Spark can read.
+
+    A file system that can't be reached is an error, not a missing path.
+    """
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    try:
-        return hadoop_path.getFileSystem(conf).exists(hadoop_path)
-    except Py4JJavaError:
-        return False
+    return hadoop_path.getFileSystem(conf).exists(hadoop_path)
 
 
 def dataset_folder(spark: SparkSession, root: str, size: str) -> str:

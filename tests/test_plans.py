@@ -5,8 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators import ranking, splits, stats
-from starloom.operators.skew import SALT
+from starloom.operators import joins, ranking, splits, stats
+from starloom.plans.model import FactorModel, predict
 from workload import registry, views
 
 
@@ -68,7 +68,23 @@ def test_normal_equations_combine_before_the_shuffle(spark):
     assert "partial_sum" in plan_of(stats.gram(rows, "userId", 2)).split("Exchange")[1]
 
 
-def test_derived_tables_take_the_salted_join(spark, sf_dir):
-    """Sizes of derived tables are unknown before they run, so they are not broadcast by hint."""
-    plan = plan_of(registry.QUERIES["score_pairs"](spark, sf_dir))
-    assert SALT in plan
+def test_factor_tables_of_known_size_are_broadcast(spark, sf_dir):
+    source = views.ratings(spark, sf_dir)
+    given = registry.given_model(source)
+    model = FactorModel(given.users, given.items, 2, n_users=150, n_items=200)
+    assert "SortMergeJoin" in plan_of(predict(given, source))
+    assert "SortMergeJoin" not in plan_of(predict(model, source))
+
+
+def test_no_job_runs_while_a_join_is_planned(spark, sf_dir):
+    source, movies = views.ratings(spark, sf_dir), views.movies(spark, sf_dir)
+    model = registry.given_model(source)
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    try:
+        predict(model, source)
+        splits.known_pairs(source, source)
+        joins.enrich_titles(source, movies)
+        assert not status.getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

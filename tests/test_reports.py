@@ -119,6 +119,17 @@ def test_speedup_needs_both_implementations(run_log, rows_of):
     assert rows_of(reports.speedup_report(run_log, "a", "b")) == [("1m", 2.0), ("25m", None)]
 
 
+def test_repeated_runs_are_refused(run_log):
+    with pytest.raises(Exception, match="several runs"):
+        reports.speedup_report(run_log.union(run_log), "a", "b").collect()
+
+
+def test_one_missing_metric_hides_no_other(run_log):
+    half = run_log.withColumn("rmse", F.when(F.col("implementation") == "a", F.col("rmse")))
+    row = reports.speedup_report(half, "a", "b", ["training_time", "rmse"]).where("size = '1m'").first()
+    assert (row["training_time_speedup"], row["rmse_speedup"]) == (2.0, None)
+
+
 def test_accuracy_differences(run_log):
     row = reports.accuracy_report(run_log, "a", "b").where("size = '1m'").first()
     assert row["rmse_difference"] == pytest.approx(0.1) and row["mae_difference"] == pytest.approx(0.1)
@@ -137,3 +148,15 @@ def test_summary_has_null_for_missing_metrics(spark):
     rows = {r["implementation"]: r for r in reports.summary_table(nested).collect()}
     assert rows["spark"]["rmse"] == 0.9 and rows["spark"]["total_time"] is None
     assert rows["other"]["total_time"] == 2.0 and rows["other"]["rmse"] is None
+
+
+def test_popularity_of_very_hot_items(spark):
+    counts = spark.createDataFrame([(1, 9_000_000_000_000_000_000)], "movieId INT, count BIGINT")
+    ratings = spark.range(3).select(F.lit(1).alias("movieId"))
+    assert int(joins.popularity_lookup(ratings, counts).first()["lookup_total"]) == 27 * 10**18
+
+
+def test_precision_of_filtered_ranks(spark):
+    recs = spark.createDataFrame([(1, 10, 4), (1, 11, 6), (2, 10, 9)], "userId INT, movieId INT, rank INT")
+    test = spark.createDataFrame([(1, 11), (2, 10)], "userId INT, movieId INT")
+    assert quality.precision_at_k(recs, test, 2).first()["precision"] == 0.75

@@ -9,7 +9,7 @@ from starloom.operators.quality import rmse
 from starloom.plans import evaluate as evaluation
 from starloom.plans import model as models
 from starloom.plans import plain_als, runs
-from starloom.plans.mllib_als import train_als
+from starloom.plans.mllib_als import fit_factors, train_als
 from starloom.sources import read_metrics, write_metrics
 from workload import views
 
@@ -149,10 +149,62 @@ def test_evaluate_without_known_pairs(spark):
 
 def test_tune_finds_the_small_ridge(planted):
     train, test = planted
-    result = evaluation.tune(train, test, {"rank": [2], "reg": [0.01, 1.0], "max_iter": [5]}, folds=2, parallelism=2)
-    assert result.best_params == {"rank": 2, "reg": 0.01, "max_iter": 5}
+    result = evaluation.tune(train, test, {"rank": [4], "reg": [0.01, 1.0], "max_iter": [10]}, folds=2, parallelism=2)
+    assert result.best_params == {"rank": 4, "reg": 0.01, "max_iter": 10}
     assert result.grid.where("chosen").count() == 1 and result.grid.count() == 2
-    assert result.metrics.first()["rmse"] < 0.1
+    assert result.metrics.first()["rmse"] < 0.05
+    assert result.seconds["tuning_time"] > 0
+
+
+def test_tuning_reports_its_time(planted, spark):
+    train, test = planted
+    tuned = Recommender(spark)
+    tuned.tune(train, test, grid={"rank": [2], "reg": [0.1], "max_iter": [2]}, folds=2)
+    row = tuned.metrics.first()
+    assert row["tuning_time"] > 0 and row["training_time"] > 0 and row["rmse"] > 0
+    with pytest.raises(ValueError):
+        Recommender(spark, "plain").tune(train, test)
+
+
+def test_a_fold_without_error_is_an_error(ratings_of):
+    alone = ratings_of([(i, i, 3.0, 1) for i in range(6)])  # no user of a fold is in the others
+    with pytest.raises(ValueError, match="fold"):
+        evaluation.tune(alone, alone, {"rank": [1], "reg": [0.1], "max_iter": [1]}, folds=2)
+
+
+def test_models_do_not_depend_on_the_layout(planted, rows_of):
+    train, _ = planted
+    wide = rows_of(models.from_mllib(train_als(train.repartition(9), rank=2, max_iter=2)).users.select("id", F.round(F.col("features")[0], 3)))
+    narrow = rows_of(models.from_mllib(train_als(train.coalesce(1), rank=2, max_iter=2)).users.select("id", F.round(F.col("features")[0], 3)))
+    assert wide == narrow
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_any_ids_can_be_trained(planted, kind, rows_of):
+    train, _ = planted
+    coded = train.select(
+        (F.col("userId") + 5_000_000_000).cast(kind).alias("userId"), (F.col("movieId") + 5_000_000_000).cast(kind).alias("movieId"), "rating"
+    )
+    model = fit_factors(coded, rank=2, max_iter=2)
+    assert dict(model.users.dtypes)["id"] == kind
+    assert {r[0] for r in rows_of(model.users.select("id"))} == {r[0] for r in rows_of(coded.select("userId"))}
+    assert evaluation.evaluate(model, coded).first()["n_pairs"] == coded.count()
+
+
+def test_solvers_refuse_what_they_cannot_do(ratings_of):
+    some = ratings_of([(1, 1, 3.0, 1)])
+    for options in ({"solver": "plain", "implicit": True}, {"solver": "mllib", "scaled": True}):
+        with pytest.raises(ValueError):
+            runs.training_run(some, **options)
+    with pytest.raises(ValueError):
+        plain_als.als_half_step(some, some, 2, reg=0)
+
+
+def test_half_step_skips_null_ratings(spark, ratings_of):
+    factors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "id INT, features ARRAY<DOUBLE>")
+    full = ratings_of([(1, 1, 3.0, 1), (1, 2, None, 1), (2, 2, 4.0, 1)])
+    solved = {r["id"]: r["features"] for r in plain_als.als_half_step(full, factors, 2, 0.5).collect()}
+    assert solved[1] == pytest.approx([2.0, 0.0]) and solved[2] == pytest.approx([0.0, 4 / 1.5])
 
 
 def test_saved_models_predict_the_same(spark, sf_dir, tmp_path, rows_of):

@@ -4,6 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from starloom.functions import threshold
 from starloom.operators import ids, splits
 from workload import views
 
@@ -59,9 +60,25 @@ def test_samples_are_nested_and_match_the_counts(source, rows_of):
     assert smaller.exceptAll(larger).count() == 0
 
 
-def test_fine_fractions_use_a_finer_resolution(source):
-    n = splits.sample_fraction(source, 0.125).count()
-    assert abs(n / source.count() - 0.125) < 0.02
+@pytest.mark.parametrize("fraction", [0.125, 0.25, 0.255, 1 / 3])
+def test_samples_have_their_share_and_are_nested(source, fraction):
+    sample = splits.sample_fraction(source, fraction)
+    assert abs(sample.count() / source.count() - fraction) < 0.02
+    assert splits.sample_fraction(source, fraction * 0.97).exceptAll(sample).count() == 0
+
+
+def test_very_small_fractions_are_kept(spark):
+    rows = spark.range(4_000_000).select(F.col("id").alias("userId"), F.lit(1).alias("movieId"))
+    assert splits.sample_fraction(rows, 4e-6).count() > 0
+    assert threshold(4e-7) > 0
+
+
+def test_draws_of_one_seed_are_independent(source):
+    sample = splits.sample_fraction(source, 0.25, 42)
+    train, test = splits.split_bernoulli(sample, 0.8, 42)
+    assert abs(test.count() / sample.count() - 0.2) < 0.05
+    folds = splits.kfold_assign(sample, 4, 42).groupBy("fold").count().collect()
+    assert len(folds) == 4 and min(r["count"] for r in folds) > sample.count() / 8
 
 
 def test_folds_cover_all_rows(source):
@@ -88,8 +105,7 @@ def test_id_map_is_the_sorted_position(spark, values):
     assert found == {v: i for i, v in enumerate(sorted(values))}
 
 
-def test_id_map_of_wide_ids_with_many_ranges(spark, monkeypatch):
-    monkeypatch.setattr(ids, "RANGES", 16)
+def test_id_map_of_wide_ids_with_many_ranges(spark):
     frame = spark.range(5000).select((F.col("id") * 3_000_000_000).alias("id"))
     found = ids.id_map(frame, "id").where(F.col("id") / 3_000_000_000 != F.col("idx"))
     assert found.count() == 0

@@ -12,14 +12,14 @@ from starloom.operators import (
 from starloom.plans import evaluate as evaluation
 from starloom.plans import model as models
 from starloom.plans import plain_als, preparation, recommend, runs
-from starloom.plans.mllib_als import train_als
+from starloom.plans.mllib_als import fit_factors, train_als
 from starloom.plans.model import FactorModel
 from starloom.schemas import GENRE_NAMES
 from starloom.session import scratch_path
 from starloom import sources
 
 from . import dumps, views
-from .views import sql_bucket, with_views
+from .views import sql_bucket, sql_share, with_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -241,8 +241,8 @@ def write_training_triples(spark, sf_dir):
 def write_id_mappings(spark, sf_dir):
     folder = scratch_path(spark, "mappings")
     sources.write_id_mappings(views.movies(spark, sf_dir), views.users(spark, sf_dir), folder)
-    movies = spark.read.csv(f"{folder}/movie_mapping", header=True, schema="id INT, title STRING")
-    users = spark.read.csv(f"{folder}/user_mapping", header=True, schema="id INT")
+    movies = spark.read.csv(f"{folder}/movie_mapping", header=True, schema="id BIGINT, title STRING")
+    users = spark.read.csv(f"{folder}/user_mapping", header=True, schema="id BIGINT")
     return movies.select(F.lit("movie").alias("kind"), "id", "title").unionByName(
         users.select(F.lit("user").alias("kind"), "id", F.lit(None).cast("string").alias("title"))
     )
@@ -279,14 +279,17 @@ EXACT_TRAIN, EXACT_TEST = (f"(SELECT * FROM parted WHERE part = '{p}')" for p in
 
 @query(
     "preprocess",
-    REPORT_SQL.format(train=EXACT_TRAIN, test=EXACT_TEST),
+    REPORT_SQL.format(train=EXACT_TRAIN, test=EXACT_TEST)
+    + ", (SELECT count(*) FROM ratings) AS rows_read, (SELECT count(*) FROM parted) AS rows_kept,"
+    " (SELECT count(*) FROM ratings) - (SELECT count(*) FROM parted) AS rows_dropped",
     "ratings movies users",
     EXACT_PARTS,
 )
 def preprocess(spark, sf_dir):
     root = dumps.write_dump(spark, sf_dir, "1m")
     report = preparation.preprocess(spark, root, "1m", scratch_path(spark, "prepared"))
-    return report.select(*REPORT_COLUMNS, r6("mean_rating"))
+    counts = ["rows_read", "rows_kept", "rows_dropped"]
+    return report.select(*REPORT_COLUMNS, r6("mean_rating"), *counts)
 
 
 # ---- Cleaning, splits, samples -----------------------------------------------------------------
@@ -320,7 +323,7 @@ DIRTY = {
         "movieId"::VARCHAR AS "movieId",
         CASE WHEN rating = 2.5 THEN 'n/a' WHEN rating = 3.5 THEN NULL ELSE rating::VARCHAR END AS rating,
         timestamp::VARCHAR AS timestamp FROM ratings""",
-    "typed": """SELECT try_cast("userId" AS INT) AS "userId", try_cast("movieId" AS INT) AS "movieId",
+    "typed": """SELECT try_cast("userId" AS BIGINT) AS "userId", try_cast("movieId" AS BIGINT) AS "movieId",
         try_cast(rating AS DOUBLE) AS rating, try_cast(timestamp AS BIGINT) AS timestamp FROM dirty""",
 }
 USABLE = '"userId" IS NOT NULL AND "movieId" IS NOT NULL AND rating IS NOT NULL'
@@ -393,7 +396,7 @@ def split_exact(spark, sf_dir):
 
 
 @query(
-    "sample_fraction", f"SELECT {RATING} FROM ratings WHERE {sql_bucket(42)} % 100 < 25", "ratings"
+    "sample_fraction", f"SELECT {RATING} FROM ratings WHERE {sql_share(0.25, 'sample', 42)}", "ratings"
 )
 def sample_fraction(spark, sf_dir):
     return splits.sample_fraction(views.ratings(spark, sf_dir), 0.25)
@@ -403,7 +406,7 @@ def sample_fraction(spark, sf_dir):
     "sample_ladder",
     " UNION ALL ".join(
         f"SELECT {f}::DOUBLE AS fraction, count(*) AS sample_size FROM ratings"
-        f" WHERE {sql_bucket(42)} % 100 < {round(f * 100)}"
+        f" WHERE {sql_share(min(f, 1.0), 'sample', 42)}"
         for f in splits.DEFAULT_FRACTIONS
     ),
     "ratings",
@@ -443,9 +446,63 @@ def known_pairs(spark, sf_dir):
     return splits.known_pairs(source.where(~high), source.where(high))
 
 
+WIDE = 5_000_000_000
+
+
+@query(
+    "clean_wide_ids",
+    f'SELECT "userId" + {WIDE} AS "userId", "movieId" + {WIDE} AS "movieId", rating, timestamp FROM ratings',
+    "ratings",
+)
+def clean_wide_ids(spark, sf_dir):
+    """Ids beyond 32 bits survive cleaning, given as numbers or as text."""
+    source = views.ratings(spark, sf_dir)
+    wide = source.withColumns({c: F.col(c) + F.lit(WIDE) for c in ("userId", "movieId")})
+    return cleaning.clean_ratings(wide.withColumn("userId", F.col("userId").cast("string")))
+
+
+@query(
+    "sample_then_fold",
+    f"SELECT ({sql_bucket('fold', 42)} % 5)::INT AS fold, count(*) AS n FROM ratings"
+    f" WHERE {sql_share(0.01, 'sample', 42)} GROUP BY 1",
+    "ratings",
+)
+def sample_then_fold(spark, sf_dir):
+    """Folds of a 1 % sample drawn with the same seed."""
+    sample = splits.sample_fraction(views.ratings(spark, sf_dir), 0.01, 42)
+    return splits.kfold_assign(sample, 5, 42).groupBy("fold").agg(F.count("*").alias("n"))
+
+
+@query(
+    "sample_then_split",
+    f"SELECT CASE WHEN {sql_share(0.8, 'split', 42)} THEN 'train' ELSE 'test' END AS part, count(*) AS n"
+    f" FROM ratings WHERE {sql_share(0.25, 'sample', 42)} GROUP BY 1",
+    "ratings",
+)
+def sample_then_split(spark, sf_dir):
+    """Sizes of a split of a sample drawn with the same seed."""
+    sample = splits.sample_fraction(views.ratings(spark, sf_dir), 0.25, 42)
+    train, test = splits.split_bernoulli(sample, 0.8, 42)
+    return _parts(train, test).groupBy("part").agg(F.count("*").alias("n"))
+
+
+@query(
+    "sample_nested",
+    f"SELECT count(*) AS pairs, count(*) FILTER (WHERE NOT {sql_share(0.255, 'sample', 42)}) AS missing"
+    f" FROM ratings WHERE {sql_share(0.25, 'sample', 42)}",
+    "ratings",
+)
+def sample_nested(spark, sf_dir):
+    """Rows of a 25 % sample, and those of them that a 25.5 % sample lacks."""
+    source = views.ratings(spark, sf_dir)
+    larger = splits.sample_fraction(source, 0.255).select("userId", "movieId").distinct()
+    found = splits.sample_fraction(source, 0.25).join(larger.withColumn("_in", F.lit(1)), ["userId", "movieId"], "left")
+    return found.agg(F.count("*").alias("pairs"), F.count_if(F.col("_in").isNull()).alias("missing"))
+
+
 @query(
     "kfold_assign",
-    f"SELECT {RATING}, ({sql_bucket(42)} % 3)::INT AS fold FROM ratings",
+    f"SELECT {RATING}, ({sql_bucket('fold', 42)} % 3)::INT AS fold FROM ratings",
     "ratings",
 )
 def kfold_assign(spark, sf_dir):
@@ -466,7 +523,18 @@ ENCODED = {
 )
 def encode_ids(spark, sf_dir):
     source = views.ratings(spark, sf_dir)
-    return ids.encode_ids(ids.encode_ids(source, "userId", index="uidx"), "movieId", index="iidx")
+    return ids.encode_pairs(source, {"userId": "uidx", "movieId": "iidx"})
+
+
+@query(
+    "encode_string_ids",
+    "SELECT 'u' || \"userId\" AS name, rating, row_number() OVER (ORDER BY name) - 1 AS uidx FROM"
+    " (SELECT \"userId\", max(rating) AS rating FROM ratings GROUP BY 1)",
+    "ratings",
+)
+def encode_string_ids(spark, sf_dir):
+    named = views.ratings(spark, sf_dir).groupBy(F.concat(F.lit("u"), F.col("userId")).alias("name"))
+    return ids.encode_ids(named.agg(F.max("rating").alias("rating")), "name", index="uidx")
 
 
 @query("decode_ids", 'SELECT "movieId", rating FROM ratings', "ratings")
@@ -551,7 +619,7 @@ def recommendation_hits(spark, sf_dir):
 
 @query(
     "popularity_lookup",
-    'SELECT count(*)::BIGINT AS hit_rows, sum(n)::BIGINT AS lookup_total FROM test JOIN'
+    'SELECT count(*)::BIGINT AS hit_rows, sum(n)::DECIMAL(38,0) AS lookup_total FROM test JOIN'
     ' (SELECT "movieId", count(*) AS n FROM train GROUP BY 1) USING ("movieId")',
     "train test",
 )
@@ -595,9 +663,15 @@ def profile_ratings(spark, sf_dir):
     return profile.select("num_ratings", r6("mean_rating"), "num_users")
 
 
-@query("partition_counts")
+@query(
+    "partition_counts",
+    "SELECT 16 AS partitions, count(*)::BIGINT AS records FROM ratings",
+    "ratings",
+)
 def partition_counts(spark, sf_dir):
-    return stats.partition_counts(views.ratings(spark, sf_dir).repartition(16, "userId"), 16)
+    """Partitions reported for 16 of them, empty ones included, and the rows that they hold."""
+    counts = stats.partition_counts(views.ratings(spark, sf_dir).repartition(16, "userId"), 16)
+    return counts.agg(F.count("*").cast("int").alias("partitions"), F.sum("records").alias("records"))
 
 
 def _gram_sql(entity: str, other: str, rated: str, factors: str) -> str:
@@ -677,6 +751,24 @@ def precision_curve(spark, sf_dir):
     return curve.select("model", "k", r6("precision"))
 
 
+@query(
+    "precision_curve_gaps",
+    """SELECT k, round(coalesce(avg(hits / least(k, n)), 0), 6) AS precision FROM (
+        SELECT k, "userId", count(*) AS n, count(*) FILTER (WHERE hit) AS hits FROM (SELECT unnest([1, 3, 5]) AS k)
+        JOIN (SELECT "userId", EXISTS (SELECT 1 FROM test WHERE test."userId" = recs."userId"
+            AND test."movieId" = recs."movieId") AS hit,
+            row_number() OVER (PARTITION BY "userId" ORDER BY rank, "movieId") AS place
+            FROM recs WHERE rank > 3) ON place <= k
+        WHERE "userId" IN (SELECT "userId" FROM test) GROUP BY 1, 2) GROUP BY k""",
+    "recs test",
+)
+def precision_curve_gaps(spark, sf_dir):
+    """Precision of ranked lists whose first three rows were filtered away."""
+    _, test = views.train_test(views.ratings(spark, sf_dir))
+    recs = ranking.with_rank(_unseen(spark, sf_dir, "row")).where("rank > 3")
+    return quality.precision_curve(recs, test, [1, 3, 5]).select("k", r6("precision"))
+
+
 @query(
     "precision_at_k",
     "SELECT k, precision FROM curve WHERE model = 'unseen' AND k = 10",
@@ -810,7 +902,7 @@ def similar_items(spark, sf_dir):
 
 
 COLD = {
-    "cold_pairs": 'SELECT l_orderkey::INT AS "userId", l_partkey::INT AS "movieId" FROM lineitem',
+    "cold_pairs": 'SELECT l_orderkey::BIGINT AS "userId", l_partkey::BIGINT AS "movieId" FROM lineitem',
     "cold_scores": """SELECT "userId", "movieId", uf.f0 * vf.f0 + uf.f1 * vf.f1 AS prediction
         FROM cold_pairs LEFT JOIN uf ON uf.id = "userId" LEFT JOIN vf ON vf.id = "movieId" """,
 }
@@ -826,7 +918,7 @@ def _cold(mode: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         """Pairs of order number and item: most order numbers are no known user."""
         pairs = views.table(spark, sf_dir, "lineitem").selectExpr(
-            "CAST(l_orderkey AS INT) AS userId", "CAST(l_partkey AS INT) AS movieId"
+            "CAST(l_orderkey AS BIGINT) AS userId", "CAST(l_partkey AS BIGINT) AS movieId"
         )
         scored = rounded(
             models.predict(given_model(views.ratings(spark, sf_dir)), pairs, mode)
@@ -958,62 +1050,139 @@ def train_rmse_history(spark, sf_dir):
     return run.history.select("iteration", r6("rmse"))
 
 
-@query("train_plain_als_rank10")
-def train_plain_als_rank10(spark, sf_dir):
-    """Training errors per iteration at the default rank."""
-    run = plain_als.train_plain_als(views.ratings(spark, sf_dir), rank=10, max_iter=3)
-    return run.history.select("iteration", r6("rmse"))
+def _distance(found: DataFrame, wanted: DataFrame, digits: int) -> DataFrame:
+    """(id, difference): the largest difference of two vectors per id, rounded; null if one is missing."""
+    pairs = found.join(wanted.withColumnRenamed("features", "_wanted"), "id", "full")
+    gaps = F.zip_with("features", "_wanted", lambda a, b: F.abs(a - b))
+    return pairs.select("id", F.round(F.array_max(gaps), digits).alias("difference"))
 
 
-def _factor_rows(model: FactorModel) -> DataFrame:
-    users = model.users.select(F.lit("user").alias("side"), "id", "features")
-    return users.unionByName(model.items.select(F.lit("item").alias("side"), "id", "features"))
+@query(
+    "train_plain_als_rank10",
+    'SELECT DISTINCT "movieId" AS id, 0.0::DOUBLE AS difference FROM ratings WHERE rating > 0',
+    "ratings",
+)
+def train_plain_als_rank10(spark, sf_dir):
+    """Trained item vectors against a fresh solution of their normal equations."""
+    source = views.ratings(spark, sf_dir)
+    model = plain_als.train_plain_als(source, rank=10, max_iter=3, track_rmse=False).model
+    last = cleaning.observed_only(cleaning.dedupe_last(source))
+    return _distance(model.items, plain_als.als_half_step(last, model.users, 10, 0.1, solve_for="item"), 6)
 
 
-@query("train_als")
+@query("train_als", 'SELECT DISTINCT "userId" AS id, 0.0::DOUBLE AS difference FROM ratings', "ratings")
 def train_als_explicit(spark, sf_dir):
-    """Factor tables of the explicit solver."""
-    train, _ = views.train_test(views.ratings(spark, sf_dir))
-    return _factor_rows(models.from_mllib(train_als(train, rank=10, max_iter=5)))
+    """Trained user vectors against a fresh solution of their normal equations."""
+    source = views.ratings(spark, sf_dir)
+    model = fit_factors(source, rank=10, max_iter=5)
+    return _distance(model.users, plain_als.als_half_step(source, model.items, 10, 0.1, scaled=True), 2)
 
 
-@query("train_als_implicit")
+@query("train_als_implicit", 'SELECT DISTINCT "userId" AS id, 0.0::DOUBLE AS residual FROM ratings', "ratings")
 def train_als_implicit(spark, sf_dir):
-    train, _ = views.train_test(views.ratings(spark, sf_dir))
-    fitted = train_als(train, rank=5, max_iter=3, implicit=True, alpha=1.0)
-    return _factor_rows(models.from_mllib(fitted))
+    """The largest residual of each user's implicit normal equations, alpha 1, ridge 0.1 per rating."""
+    source = views.ratings(spark, sf_dir)
+    rank = 5
+    model = fit_factors(source, rank=rank, max_iter=3, implicit=True, alpha=1.0)
+    pairs = [(i, j) for i in range(rank) for j in range(i, rank)]
+    y = [F.col("features")[i] for i in range(rank)]
+    gram = model.items.agg(*(F.sum(y[i] * y[j]).alias(f"g_{i}_{j}") for i, j in pairs)).first()
+    rated = source.join(model.items.withColumnRenamed("id", "movieId"), "movieId")
+    sums = rated.groupBy(F.col("userId").alias("id")).agg(
+        F.count("*").alias("n"),
+        *(F.sum(F.col("rating") * y[i] * y[j]).alias(f"a_{i}_{j}") for i, j in pairs),
+        *(F.sum((1 + F.col("rating")) * y[i]).alias(f"b_{i}") for i in range(rank)),
+    )
 
+    def cell(i: int, j: int) -> Column:
+        i, j = min(i, j), max(i, j)
+        ridge = 0.1 * F.col("n") if i == j else F.lit(0.0)
+        return F.col(f"a_{i}_{j}") + F.lit(gram[f"g_{i}_{j}"]) + ridge
 
-@query("save_load_mllib")
+    solved = sums.join(model.users, "id", "full")
+    rows = [sum(cell(i, j) * y[j] for j in range(rank)) - F.col(f"b_{i}") for i in range(rank)]
+    # Vectors are stored in single precision, so the residual is measured against the right side.
+    scale = F.greatest(*(F.abs(F.col(f"b_{i}")) for i in range(rank)), F.lit(1.0))
+    return solved.select("id", F.round(F.greatest(*map(F.abs, rows)) / scale, 3).alias("residual"))
+
+
+@query(
+    "save_load_mllib",
+    'SELECT count(*) AS pairs, 0::BIGINT AS changed FROM test WHERE "userId" IN (SELECT "userId" FROM train)'
+    ' AND "movieId" IN (SELECT "movieId" FROM train)',
+    "train test",
+)
 def save_load_mllib(spark, sf_dir):
-    """Predictions of a model read back from MLlib's format."""
+    """Test pairs scored by a model read back from MLlib's format, and those scored differently."""
     train, test = views.train_test(views.ratings(spark, sf_dir))
     path = scratch_path(spark, "mllib-model")
-    models.save_mllib(train_als(train, rank=5, max_iter=3), path)
-    return models.predict(models.from_mllib(models.load_mllib(path)), test)
+    fitted = train_als(train, rank=5, max_iter=3)
+    models.save_mllib(fitted, path)
+    before = models.predict(models.from_mllib(fitted), test)
+    both = models.predict(models.from_mllib(models.load_mllib(path)), before.withColumnRenamed("prediction", "_before"))
+    return both.agg(
+        F.count("*").alias("pairs"), F.count_if(F.col("prediction") != F.col("_before")).alias("changed")
+    )
 
 
-@query("recommend_trained")
-def recommend_trained(spark, sf_dir):
+def recommended(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Split, train, top 10 unseen items per user, titles: the whole pipeline."""
     train, _ = views.train_test(views.ratings(spark, sf_dir))
-    model = models.from_mllib(train_als(train, rank=10, max_iter=5, seed=42))
+    model = fit_factors(train, rank=10, max_iter=5, seed=42)
     recs = recommend.recommend_excluding_rated(model, train, 10, "row")
     return joins.enrich_titles(recs, views.movies(spark, sf_dir))
 
 
-@query("tune")
+@query(
+    "recommend_trained",
+    'SELECT "userId", least(10, (SELECT count(DISTINCT "movieId") FROM train) - count(DISTINCT "movieId"))::BIGINT AS n,'
+    ' 0::BIGINT AS rated, 0::BIGINT AS untitled FROM train GROUP BY 1',
+    "train",
+)
+def recommend_trained(spark, sf_dir):
+    """Per user: recommended items, those of them already rated, and those without a title."""
+    train, _ = views.train_test(views.ratings(spark, sf_dir))
+    rated = train.select("userId", "movieId").distinct().withColumn("_rated", F.lit(1))
+    found = recommended(spark, sf_dir).join(rated, ["userId", "movieId"], "left")
+    return found.groupBy("userId").agg(
+        F.count_distinct("movieId").alias("n"),
+        F.count("_rated").alias("rated"),
+        F.count_if(F.col("title").isNull()).alias("untitled"),
+    )
+
+
+@query(
+    "tune",
+    """SELECT g.rank, g.reg, g.max_iter, g.reg = 0.01 AS chosen, (SELECT count(*) FROM
+        (SELECT DISTINCT "userId", "movieId" FROM train)) AS ratings
+        FROM (VALUES (4, 0.01::DOUBLE, 10), (4, 1.0::DOUBLE, 10)) g(rank, reg, max_iter)""",
+    "train",
+)
 def tune(spark, sf_dir):
-    """A 2 x 2 grid over three folds."""
-    train, test = views.train_test(views.ratings(spark, sf_dir))
-    grid = {"rank": [2, 4], "reg": [0.1, 1.0], "max_iter": [3]}
-    return evaluation.tune(train, test, grid, folds=3).grid
+    """The parameters chosen on ratings that follow given factors; the weaker ridge fits them."""
+    pairs = views.ratings(spark, sf_dir).select("userId", "movieId").distinct()
+    scored = models.predict(given_model(pairs), pairs)
+    planted = scored.select("userId", "movieId", (1 + 2 * F.col("prediction")).alias("rating"))
+    train, test = views.train_test(planted)
+    grid = {"rank": [4], "reg": [0.01, 1.0], "max_iter": [10]}
+    found = evaluation.tune(train, test, grid, folds=2).grid
+    return found.select("rank", "reg", "max_iter", "chosen").withColumn("ratings", F.lit(train.count()).cast("bigint"))
 
 
-@query("scaling_test")
+@query(
+    "scaling_test",
+    " UNION ALL ".join(
+        f"SELECT {f}::DOUBLE AS fraction, count(*) AS sample_size, true AS timed FROM ratings"
+        f" WHERE {sql_share(f, 'sample', 42)}"
+        for f in (0.25, 0.5, 1.0)
+    ),
+    "ratings",
+)
 def scaling_test(spark, sf_dir):
+    """Sample sizes of a scaling test, and whether every step took time."""
     source = views.ratings(spark, sf_dir)
-    return runs.scaling_test(source, [0.25, 0.5, 1.0], rank=5, max_iter=2)
+    found = runs.scaling_test(source, [0.25, 0.5, 1.0], rank=5, max_iter=2)
+    return found.select("fraction", "sample_size", (F.col("training_time") > 0).alias("timed"))
 
 
 # ---- Layout and reports ------------------------------------------------------------------------

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.operators.cleaning import clean_movies
 from starloom.operators.splits import split_bernoulli
 from starloom.schemas import GENRE_FLAG_COLUMNS, N_GENRE_FLAGS
 
@@ -17,8 +16,8 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).selectExpr(
-        "CAST(o_custkey AS INT) AS userId",
-        "CAST(l_partkey AS INT) AS movieId",
+        "CAST(o_custkey AS BIGINT) AS userId",
+        "CAST(l_partkey AS BIGINT) AS movieId",
         "0.5D * (1 + pmod(CAST(l_quantity AS INT) - 1, 10)) AS rating",
         "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(l_shipdate AS TIMESTAMP_NTZ))"
         " AS timestamp",
@@ -27,7 +26,7 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").selectExpr(
-        "CAST(p_partkey AS INT) AS movieId",
+        "CAST(p_partkey AS BIGINT) AS movieId",
         "p_name AS title",
         "concat_ws('|', p_type, p_brand) AS genres",
     )
@@ -43,7 +42,7 @@ def movies_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").selectExpr(
-        "CAST(c_custkey AS INT) AS userId",
+        "CAST(c_custkey AS BIGINT) AS userId",
         "CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender",
         "CAST(18 + c_custkey % 50 AS INT) AS age",
         "c_mktsegment AS occupation",
@@ -92,29 +91,31 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def genre_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_movies(movies_flags(spark, sf_dir))
+_BUCKET = "('0x' || substr(md5({key}), 1, 13))::BIGINT"
+PAIR = "userId || ':' || movieId"
 
 
-_BUCKET = "('0x' || substr(md5({key}), 1, 8))::BIGINT"
-PAIR = "userId || ':' || movieId"
+def sql_bucket(domain: str, seed: int | None = None, pair: str = PAIR) -> str:
+    prefix = domain if seed is None else f"{domain}:{seed}"
+    return _BUCKET.format(key=f"'{prefix}:' || {pair}")
 
 
-def sql_bucket(seed: int | None = None, pair: str = PAIR) -> str:
-    return _BUCKET.format(key=pair if seed is None else f"'{seed}:' || {pair}")
+def sql_share(fraction: float, domain: str, seed: int | None = None) -> str:
+    """Whether a pair falls into the first ``fraction`` of the draws."""
+    return f"{sql_bucket(domain, seed)} < {round(fraction * 2**52)}"
 
 
 CTES = {
-    "ratings": """SELECT o_custkey::INT AS "userId", l_partkey::INT AS "movieId",
+    "ratings": """SELECT o_custkey::BIGINT AS "userId", l_partkey::BIGINT AS "movieId",
         0.5::DOUBLE * (1 + ((l_quantity::INT - 1) % 10)) AS rating,
         epoch(l_shipdate)::BIGINT AS timestamp
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
-    "movies": """SELECT p_partkey::INT AS "movieId", p_name AS title,
+    "movies": """SELECT p_partkey::BIGINT AS "movieId", p_name AS title,
         p_type || '|' || p_brand AS genres FROM part""",
     "movies_flags": "SELECT \"movieId\", title, "
     + ", ".join(f'(("movieId" % {i + 2}) = 0)::INT AS genre_{i}' for i in range(N_GENRE_FLAGS))
     + " FROM movies",
-    "users": """SELECT c_custkey::INT AS "userId",
+    "users": """SELECT c_custkey::BIGINT AS "userId",
         CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender,
         (18 + c_custkey % 50)::INT AS age, c_mktsegment AS occupation,
         c_nationkey::VARCHAR AS zip_code FROM customer""",
@@ -122,8 +123,8 @@ CTES = {
         (("userId" * 53) % 97)::DOUBLE / 97 AS f1 FROM ratings""",
     "vf": """SELECT DISTINCT "movieId" AS id, (("movieId" * 41) % 103)::DOUBLE / 103 AS f0,
         (("movieId" * 59) % 89)::DOUBLE / 89 AS f1 FROM ratings""",
-    "train": f"SELECT * FROM ratings WHERE {sql_bucket()} % 100 < 80",
-    "test": f"SELECT * FROM ratings WHERE {sql_bucket()} % 100 >= 80",
+    "train": f"SELECT * FROM ratings WHERE {sql_share(0.8, 'split')}",
+    "test": f"SELECT * FROM ratings WHERE NOT {sql_share(0.8, 'split')}",
     "scored": """SELECT uf.id AS "userId", vf.id AS "movieId", uf.f0 * vf.f0 + uf.f1 * vf.f1 AS prediction
         FROM uf CROSS JOIN vf""",
     "unseen": """SELECT * FROM scored WHERE NOT EXISTS (SELECT 1 FROM train
