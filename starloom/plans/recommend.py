@@ -252,6 +252,14 @@ def recommend_excluding_rated(
     """
     cols = require_model(model).cols
     sizes = _tiles(model) | sizes
+    if {"query_count", "target_count", "exclude_count"} - set(sizes):
+        # One scan sizes all blocks; users and items are those of the ratings.
+        found = ratings.agg(
+            F.approx_count_distinct(cols.user).alias("query_count"),
+            F.approx_count_distinct(cols.item).alias("target_count"),
+            F.count("*").alias("exclude_count"),
+        ).first()
+        sizes = found.asDict() | sizes
     pairs = ratings.select(F.col(cols.user).alias("left_id"), F.col(cols.item).alias("right_id"))
     matches = top_matches(
         _chosen(model.users, ratings, cols.user),
@@ -259,8 +267,6 @@ def recommend_excluding_rated(
         n,
         exclude=pairs,
         ties=ties,
-        query_count=sizes.pop("query_count", None) or model.n_users or model.users.count(),
-        target_count=sizes.pop("target_count", None) or model.n_items or model.items.count(),
         **sizes,
     )
     return _named(matches, cols.user, cols.item, cols.prediction)
