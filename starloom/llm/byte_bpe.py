@@ -14,8 +14,8 @@ Pieces longer than LONG bytes contract all occurrences of their least rank in on
 right. In a trained vocabulary a merge never makes a pair of lower rank than its own possible, so
 the result is the same, with one step per rank instead of one per merge.
 
-The pass is narrow. A worker keeps at most KEEP pieces in its cache, and a query gets about
-ROWS rows, plus one piece. Words that repeat in a worker are contracted once.
+The pass is narrow. A task keeps about KEEP pieces in its cache, and a query gets about ROWS rows,
+plus one piece. The cache goes with the task.
 
 Null and empty texts have no tokens and decode to nothing; null ids stay null; repeated rows each
 give a row; an empty table gives an empty result; other columns are ignored.
@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 
 from starloom.llm.frames import map_texts
 
-ROWS = 400_000
-KEEP = 500_000
+ROWS = 250_000
+KEEP = 400_000
 LONG = 128
 #: Steps of one recursive query over long pieces, whose rows all stay until it ends.
 LONG_STEPS = 16
@@ -112,7 +112,7 @@ class Codec:
             for i in range(1, len(token))
             if token[:i] in ranks and token[i:] in ranks
         ]
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
         merges = pa.table([pa.array([c[0] for c in cuts], pa.int64()), pa.array([c[1] for c in cuts], pa.int32())], ["pair", "rank"])
         words = pa.table([pa.array(ranks.values(), pa.int32()), pa.array([t.hex() for t in ranks])], ["id", "hex"])
         for name, table in (("merges", merges), ("vocabulary", words)):
@@ -120,9 +120,11 @@ class Codec:
             self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.con.unregister("given")
         self.cache: dict[str, tuple[str, int, bytes, bytes]] = {}
+        self.with_ids = True
 
     def keep(self, piece: str, ids: list[int], decoded: bytes) -> None:
-        self.cache[piece] = (" ".join(map(str, ids)), len(ids), decoded, np.array(ids, np.int32).tobytes())
+        packed = np.array(ids, np.int32).tobytes() if self.with_ids else b""
+        self.cache[piece] = (" ".join(map(str, ids)), len(ids), decoded, packed)
 
     def start(self, pieces: list[bytes]) -> pa.Table:
         sizes = np.array([len(p) + 1 for p in pieces])
@@ -160,7 +162,7 @@ class Codec:
     def encode(self, texts: list[str]) -> list[list[str]]:
         """The pieces of each text; afterwards the cache holds every one of them."""
         if len(self.cache) > KEEP:
-            self.cache = {}
+            self.cache.clear()
         cut = [self.split(text) for text in texts]
         short: list[tuple[str, bytes]] = []
         rows = 0
@@ -199,6 +201,8 @@ def encode(
     def make():
         worker = codec(ranks_path, pattern)
 
+        worker.with_ids = with_ids
+
         def work(_, texts: list[str]) -> list[pa.Array]:
             cut, known = worker.encode(texts), worker.cache
             counts, ids_sha, text_sha, ids = [], [], [], []
@@ -216,10 +220,11 @@ def encode(
                 columns.append(pa.ListArray.from_arrays(pa.array(offsets), flat))
             return columns
 
+        work.done = worker.cache.clear  # the next task of this worker may be of another operator
         return work
 
     fields = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return map_texts(docs, id_col, text_col, make, fields, batch_rows=1024)
+    return map_texts(docs, id_col, text_col, make, fields, batch_rows=512)
 
 
 def decode(tokens: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

@@ -45,7 +45,7 @@ def map_texts(
     """Rows from (ids, texts) batches; null texts are empty.
 
     make() runs once per task and returns the function that turns a batch into a list of Arrow
-    arrays, one per field after the id. batch_rows bounds the texts held as Python strings at once.
+    arrays, one per field after the id; its attribute done, if any, is called at the end. batch_rows bounds the texts held as Python strings at once.
     """
     source = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
@@ -60,6 +60,7 @@ def map_texts(
                 part = batch.slice(start, batch_rows)
                 ids = part.column(0)
                 yield pa.RecordBatch.from_arrays([ids, *work(ids, part.column(1).to_pylist())], names)
+        getattr(work, "done", lambda: None)()
 
     return source.mapInArrow(run, f"doc_id long, {fields}")
 

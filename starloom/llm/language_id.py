@@ -34,7 +34,7 @@ MAX_ROWS = 20_000
 MAX_WORDS = 60_000
 MAX_GRAMS = 40_000
 ORDERS = (4, 3, 2, 1)
-KEEP = 200_000
+KEEP = 100_000
 UNKNOWN = "und"
 
 WORD = re.compile(r"[^\W\d_]+")
