@@ -14,8 +14,8 @@ Pieces longer than LONG bytes contract all occurrences of their least rank in on
 right. In a trained vocabulary a merge never makes a pair of lower rank than its own possible, so
 the result is the same, with one step per rank instead of one per merge.
 
-The pass is narrow. A task keeps about KEEP pieces in its cache, and a query gets about ROWS rows,
-plus one piece. The cache goes with the task.
+The pass is narrow. A worker keeps about KEEP pieces in its cache, for all its tasks, and a query
+gets about ROWS rows, plus one piece.
 
 Null and empty texts have no tokens and decode to nothing; null ids stay null; repeated rows each
 give a row; an empty table gives an empty result; other columns are ignored.
@@ -220,7 +220,6 @@ def encode(
                 columns.append(pa.ListArray.from_arrays(pa.array(offsets), flat))
             return columns
 
-        work.done = worker.cache.clear  # the next task of this worker may be of another operator
         return work
 
     fields = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
