@@ -3,7 +3,8 @@
 A word that the model knows scores by its per-language log frequency. An unseen word falls back
 to its character n-grams, the longest order first; the first order with a known n-gram decides,
 by the mean of the log frequencies of its known n-grams. The language with the largest sum wins;
-the score is its posterior under equal priors.
+the score is its posterior under equal priors. A word without a known n-gram says nothing; a text is
+accepted if at least LEAST_KNOWN of its words say something.
 
 Fitting reads a sample of labelled rows, drawn by a hash of the id so that about MAX_ROWS rows are
 expected at any size of table; it counts words in one aggregation and derives n-grams from the
@@ -11,8 +12,8 @@ counted words. The model keeps the MAX_WORDS and MAX_GRAMS most frequent entries
 the workers is bounded whatever the corpus. Prediction covers all words of all texts in a narrow
 pass; a worker's cache of unseen words holds at most KEEP entries.
 
-Null texts and texts without letters give `und` with score 0; so does every text if nothing was
-learned (an empty table, no labels). Null ids are never learned from, nor rows with a null label;
+Null texts, texts without letters and texts without a known word or n-gram give `und` with score 0;
+so does every text if nothing was learned (an empty table, no labels). Null ids are never learned from, nor rows with a null label;
 repeated rows each give a row and count as often as they occur; other columns are ignored.
 """
 
@@ -35,6 +36,7 @@ MAX_WORDS = 60_000
 MAX_GRAMS = 40_000
 ORDERS = (4, 3, 2, 1)
 KEEP = 100_000
+LEAST_KNOWN = 0.5
 UNKNOWN = "und"
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -120,37 +122,48 @@ class Scorer:
 
     def reset(self) -> None:
         self.place = dict(self.model.words)
+        self.says = np.ones(self.known + KEEP, bool)
         self.rows = np.empty((self.known + KEEP, len(self.model.languages)))
         self.rows[: self.known] = self.model.word_rows
 
-    def back_off(self, word: str) -> np.ndarray:
+    def back_off(self, word: str) -> np.ndarray | None:
         for order in ORDERS:
             found = [i for g in grams_of(word, order) if (i := self.model.grams.get(g)) is not None]
             if found:
                 return self.model.gram_rows[found].mean(axis=0)
-        return np.zeros(len(self.model.languages))
+        return None
 
-    def total(self, words: list[str]) -> np.ndarray:
-        """Sum of the rows of the words; KEEP words at a time, so that their rows fit."""
-        total = np.zeros(len(self.model.languages))
+    def total(self, words: list[str]) -> tuple[np.ndarray, int]:
+        """Sum of the rows of the words, and how many say something; KEEP words at a time, so that their rows fit."""
+        total, n = np.zeros(len(self.model.languages)), 0
         for begin in range(0, len(words), KEEP):
             part = words[begin : begin + KEEP]
             if len(self.place) + len(part) > len(self.rows):
                 self.reset()
             for word in set(part).difference(self.place):
                 at = len(self.place)
-                self.rows[at] = self.back_off(word)
+                row = self.back_off(word)
+                self.says[at] = row is not None
+                self.rows[at] = 0 if row is None else row
                 self.place[word] = at
-            total += self.rows[[self.place[w] for w in part]].sum(axis=0)
-        return total
+            places = [self.place[w] for w in part]
+            total += self.rows[places].sum(axis=0)
+            n += int(np.count_nonzero(self.says[places]))
+        return total, n
 
-    def predict(self, text: str) -> tuple[str, float]:
+    def judge(self, text: str) -> tuple[str, float, float]:
+        """Language, score and the share of words that say something."""
         words = WORD.findall(text.lower())
         if not words or not self.model.languages:
-            return UNKNOWN, 0.0
-        total = self.total(words)
+            return UNKNOWN, 0.0, 0.0
+        total, n = self.total(words)
+        if not n:
+            return UNKNOWN, 0.0, 0.0
         best = int(total.argmax())
-        return self.model.languages[best], round(1 / math.fsum(np.exp(total - total[best])), 9)
+        return self.model.languages[best], round(1 / math.fsum(np.exp(total - total[best])), 9), n / len(words)
+
+    def predict(self, text: str) -> tuple[str, float]:
+        return self.judge(text)[:2]
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -168,15 +181,18 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return map_texts(docs, id_col, text_col, make, "lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, model: Model, least_score: float = 0.0, text_col: str = "text") -> DataFrame:
-    """Rows of docs whose text has a language, predicted with at least least_score."""
+def accepted(
+    docs: DataFrame, model: Model, least_score: float = 0.0, text_col: str = "text", least_known: float = LEAST_KNOWN
+) -> DataFrame:
+    """Rows of docs whose text has a language, predicted with at least least_score from at least least_known of its words."""
 
     def make():
         scorer = Scorer(model)
 
         def work(texts: list[str]) -> list[pa.Array]:
-            found = [scorer.predict(text) for text in texts]
-            return [pa.array([language != UNKNOWN and score >= least_score for language, score in found], pa.bool_())]
+            found = [scorer.judge(text) for text in texts]
+            keep = [name != UNKNOWN and score >= least_score and known >= least_known for name, score, known in found]
+            return [pa.array(keep, pa.bool_())]
 
         return work
 
