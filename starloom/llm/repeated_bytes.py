@@ -44,8 +44,8 @@ TRIGGER = 48
 #: Bytes hashed at once; longer documents are hashed in stretches that overlap by LENGTH - 1.
 STRETCH = 1 << 20
 
-#: A place packs a start (32 bits), a count of strings (7), a trigger offset (7) and a text key (18).
-START, COUNT, OFFSET, KEY = 32, 25, 18, (1 << 18) - 1
+#: A place packs a start (32 bits), a count of strings (7) and a trigger offset (7); 18 bits are free.
+START, COUNT, OFFSET = 32, 25, 18
 LAST_ID = (1 << 63) - 1
 REPEATED, SHARED = 0, 1
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -121,29 +121,30 @@ def bytes_of(text: str) -> np.ndarray:
 
 
 def prepared(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc (nulls last), key (of the text) and text; repeated rows share doc and key."""
+    """doc (nulls last), key (64 bits, of the text) and text; repeated rows share doc and key."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc"),
         F.col(id_col).isNull().alias("no_id"),
-        F.xxhash64(text).bitwiseAND(F.lit(KEY)).alias("key"),
+        F.xxhash64(text).alias("key"),
         text.alias("text"),
     )
 
 
 def parse(texts: DataFrame) -> DataFrame:
-    """One row per phrase occurrence: trigger, phrase, doc, place."""
-    names = ["a", "b", "doc", "place"]
+    """One row per phrase occurrence: trigger, phrase, doc, place, key."""
+    names = ["a", "b", "doc", "place", "key"]
 
     def run(batches):
         for batch in batches:
             for doc, key, text in zip(*(batch.column(i).to_pylist() for i in (0, 1)), batch.column(2)):
                 for trigger, phrase, first, count, offset in phrases(bytes_of(text.as_py())):
-                    place = first << START | count << COUNT | offset << OFFSET | key
-                    columns = [trigger.view(np.int64), phrase.view(np.int64), np.full(len(first), doc), place]
+                    place = first << START | count << COUNT | offset << OFFSET
+                    owner = np.full(len(first), doc), place, np.full(len(first), key)
+                    columns = [trigger.view(np.int64), phrase.view(np.int64), *owner]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
-    return texts.select("doc", "key", "text").mapInArrow(gathered(run), "a long, b long, doc long, place long")
+    return texts.select("doc", "key", "text").mapInArrow(gathered(run), "a long, b long, doc long, place long, key long")
 
 
 def gathered(run: Callable, rows: int = 20_000) -> Callable:
@@ -165,7 +166,13 @@ def gathered(run: Callable, rows: int = 20_000) -> Callable:
 
 def in_corpus_order(rows: DataFrame) -> DataFrame:
     """rows dealt by their first key and sorted within partitions, by spilling sorts."""
-    return rows.repartition(F.col("a")).sortWithinPartitions("a", "b", "doc", "place")
+    return rows.repartition(F.col("a")).sortWithinPartitions("a", "b", "doc", "key", "place")
+
+
+def columns_of(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """a, b, doc, place and key, which is zero if documents are told apart by doc alone."""
+    found = [column.to_numpy() for column in batch.columns]
+    return found if len(found) > 4 else [*found, np.zeros(batch.num_rows, np.int64)]
 
 
 def later_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,10 +180,10 @@ def later_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
     One row is carried over between batches: the first of its trigger and of its phrase.
     """
-    names = ["doc", "place", "kind"]
-    carried = None  # trigger, phrase, doc, place of the phrase's first, and of the trigger's first if unresolved
+    names = ["doc", "place", "key", "kind"]
+    carried = None  # trigger, phrase, doc, place, key of the phrase's first, and of the trigger's first if unresolved
     for batch in batches:
-        a, b, doc, place = (batch.column(i).to_numpy() for i in range(4))
+        a, b, doc, place, key = columns_of(batch)
         n = len(a)
         if not n:
             continue
@@ -191,29 +198,29 @@ def later_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         inherited = start_b < 0
         first_doc = np.where(inherited, carried["doc"] if carried else 0, doc[start_b])
         first_place = np.where(inherited, carried["place"] if carried else 0, place[start_b])
-        first = (doc == first_doc) & (place == first_place)
-        out.append((doc[~first], place[~first], REPEATED))
+        first_key = np.where(inherited, carried["key"] if carried else 0, key[start_b])
+        first = (doc == first_doc) & (place == first_place) & (key == first_key)
+        out.append((doc[~first], place[~first], key[~first], REPEATED))
         # Firsts of further phrases of a trigger are shared, and so is the trigger's first phrase.
         further = new_b & ~new_a
-        out.append((doc[further], place[further], SHARED))
+        out.append((doc[further], place[further], key[further], SHARED))
         start_a = np.maximum.accumulate(np.where(new_a, np.arange(n), -1))
         heads = np.unique(start_a[further])
         pending = carried["pending"] if carried else None
         if len(heads) and heads[0] < 0:
             if pending:
-                out.append((np.array([pending[0]]), np.array([pending[1]]), SHARED))
+                out.append((*(np.array([x]) for x in pending), SHARED))
             pending = None
             heads = heads[1:]
-        out.append((doc[heads], place[heads], SHARED))
+        out.append((doc[heads], place[heads], key[heads], SHARED))
         tail = int(start_a[-1])
         if tail >= 0:
-            pending = None if tail in heads else (doc[tail], place[tail])
-        carried = {"a": a[-1], "b": b[-1], "doc": first_doc[-1], "place": first_place[-1], "pending": pending}
+            pending = None if tail in heads else (doc[tail], place[tail], key[tail])
+        carried = {"a": a[-1], "b": b[-1], "doc": first_doc[-1], "place": first_place[-1], "key": first_key[-1], "pending": pending}
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(np.concatenate([d for d, _, _ in out])),
-                pa.array(np.concatenate([p for _, p, _ in out])),
-                pa.array(np.concatenate([np.full(len(d), k, np.int8) for d, _, k in out])),
+                *(pa.array(np.concatenate([rows[i] for rows in out])) for i in range(3)),
+                pa.array(np.concatenate([np.full(len(rows[0]), rows[3], np.int8) for rows in out])),
             ],
             names,
         )
@@ -223,7 +230,7 @@ def later_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """Of sorted strings all but the first of equal ones; carries that first one over."""
     carried = None
     for batch in batches:
-        a, b, doc, place = (batch.column(i).to_numpy() for i in range(4))
+        a, b, doc, place, key = columns_of(batch)
         n = len(a)
         if not n:
             continue
@@ -235,22 +242,23 @@ def later_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         inherited = start < 0
         first_doc = np.where(inherited, carried[2] if carried else 0, doc[start])
         first_place = np.where(inherited, carried[3] if carried else 0, place[start])
-        later = (doc != first_doc) | (place != first_place)
-        carried = (a[-1], b[-1], first_doc[-1], first_place[-1])
-        yield pa.RecordBatch.from_arrays([pa.array(doc[later]), pa.array(place[later])], ["doc", "place"])
+        first_key = np.where(inherited, carried[4] if carried else 0, key[start])
+        later = (doc != first_doc) | (place != first_place) | (key != first_key)
+        carried = (a[-1], b[-1], first_doc[-1], first_place[-1], first_key[-1])
+        yield pa.RecordBatch.from_arrays([pa.array(c[later]) for c in (doc, place, key)], ["doc", "place", "key"])
 
 
 def by_document(places: DataFrame) -> DataFrame:
     """of_doc, of_key and the document's own places."""
-    key = F.col("place").bitwiseAND(F.lit(KEY))
-    return places.groupBy(F.col("doc").alias("of_doc"), key.alias("of_key")).agg(F.collect_list("place").alias("places"))
+    owner = F.col("doc").alias("of_doc"), F.col("key").alias("of_key")
+    return places.groupBy(*owner).agg(F.collect_list("place").alias("places"))
 
 
 def strings(texts: DataFrame, shared: DataFrame) -> DataFrame:
-    """The strings of shared phrases: two hashes, doc and place (start and key)."""
+    """The strings of shared phrases: two hashes, doc, place (a start) and key."""
     own = by_document(shared)
     joined = texts.join(own, (F.col("doc") == F.col("of_doc")) & (F.col("key") == F.col("of_key")))
-    names = ["a", "b", "doc", "place"]
+    names = ["a", "b", "doc", "place", "key"]
 
     def run(batches):
         for batch in batches:
@@ -265,11 +273,11 @@ def strings(texts: DataFrame, shared: DataFrame) -> DataFrame:
                     mine = starts[(starts >= begin) & (starts <= begin + len(part) - LENGTH)]
                     at = mine - begin
                     pair = [mixed(Hashes(part, m).of(at, at + LENGTH)) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
-                    columns = [*(h.view(np.int64) for h in pair), np.full(len(at), doc), mine << START | key]
+                    columns = [*(h.view(np.int64) for h in pair), np.full(len(at), doc), mine << START, np.full(len(at), key)]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
     rows = joined.select("doc", "key", "text", "places")
-    return rows.mapInArrow(gathered(run), "a long, b long, doc long, place long")
+    return rows.mapInArrow(gathered(run), "a long, b long, doc long, place long, key long")
 
 
 def cut_out(texts: DataFrame, repeated: DataFrame) -> DataFrame:
@@ -339,11 +347,11 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = prepared(docs, id_col, text_col)
     with shuffles_removed(docs.sparkSession):
         found = stored(
-            in_corpus_order(parse(texts)).mapInArrow(later_phrases, "doc long, place long, kind byte"), "phrases"
+            in_corpus_order(parse(texts)).mapInArrow(later_phrases, "doc long, place long, key long, kind byte"), "phrases"
         )
-        shared = found.filter(F.col("kind") == SHARED).select("doc", "place")
+        shared = found.filter(F.col("kind") == SHARED).select("doc", "place", "key")
         later = stored(
-            in_corpus_order(strings(texts, shared)).mapInArrow(later_strings, "doc long, place long"), "strings"
+            in_corpus_order(strings(texts, shared)).mapInArrow(later_strings, "doc long, place long, key long"), "strings"
         )
-    repeated = found.filter(F.col("kind") == REPEATED).select("doc", "place").union(later)
+    repeated = found.filter(F.col("kind") == REPEATED).select("doc", "place", "key").union(later)
     return cut_out(texts, repeated)
