@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starloom.llm import line_dedup, quality_rules, secret_scan
+from starloom.llm import line_dedup, quality_rules, secret_scan, spelling
 
 SPACE = r"[ \t\n\x0b\f\r]"
 
@@ -91,4 +91,82 @@ FROM ranked GROUP BY row
 """
 
 
-SQL = {"op1_quality_rules": quality_sql(), "op2_secret_scan": secret_sql(), "op4_line_dedup": line_sql()}
+def spelling_sql() -> str:
+    return rf"""
+WITH RECURSIVE crc AS (
+  SELECT list(v ORDER BY i) AS tab FROM (
+    SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)),
+      lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+    FROM (SELECT unnest(range(256)) AS i))),
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents),
+counted AS (
+  SELECT run, coalesce(doc_id::VARCHAR, '') || ':' || run AS key, count(*) AS n
+  FROM runs WHERE length(run) >= {spelling.LEAST_CHARS} GROUP BY doc_id, run),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, strlen(key) + 1),
+      lambda i: ('0x' || substr(hex(encode(key)), (2 * i - 1)::BIGINT, 2))::BIGINT)),
+    lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295) AS h
+  FROM counted, crc),
+slipped AS (
+  SELECT CASE WHEN h % {spelling.SLIP} = 0
+    THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run) + 2)::BIGINT) ELSE run END AS word, n
+  FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= {spelling.LEAST_CHARS} GROUP BY word HAVING sum(n) >= {spelling.LEAST_COUNT}),
+cut AS (
+  SELECT DISTINCT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n
+  FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT c.word, c.n, w.word, w.n FROM cut c JOIN words w ON c.rest = w.word
+  UNION SELECT w.word, w.n, c.word, c.n FROM cut c JOIN words w ON c.rest = w.word),
+best AS (
+  SELECT word, count(*) AS n_near, max(near_n) AS most, arg_min(near, {{'n': -near_n, 'w': encode(near)}}) AS near
+  FROM pairs GROUP BY word),
+judged AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= {spelling.RATIO} * n THEN near END AS form,
+    CASE WHEN most >= {spelling.RATIO} * n THEN most END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, form AS root, 1 AS hop FROM judged WHERE form IS NOT NULL
+  UNION ALL
+  SELECT c.word, j.form, hop + 1 FROM chain c JOIN judged j ON c.root = j.word WHERE j.form IS NOT NULL),
+roots AS (SELECT word, arg_max(root, hop) AS root FROM chain GROUP BY word)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM judged LEFT JOIN roots USING (word)
+"""
+
+
+def negatives_sql() -> str:
+    return """
+WITH rows AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS vector
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.id AS anchor_id, c.id AS id, a.label = c.label AS same,
+    list_inner_product(a.vector, c.vector)::BIGINT AS score
+  FROM rows a, rows c WHERE a.id % 50 = 0 AND a.id <> c.id),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+  (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))::INT AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
+SQL = {
+    "op1_quality_rules": quality_sql(),
+    "op2_secret_scan": secret_sql(),
+    "op4_line_dedup": line_sql(),
+    "op11_spelling_variants": spelling_sql(),
+    "op12_hard_negatives": negatives_sql(),
+}

@@ -8,8 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import byte_bpe, decontaminate, language_id, license_scan, line_dedup, oracles, pii, quality_rules, repeated_bytes, secret_scan, simhash
+from starloom.llm import (
+    byte_bpe, decontaminate, hard_negatives, language_id, license_scan, line_dedup, oracles, pii, quality_rules,
+    repeated_bytes, secret_scan, simhash, spelling, stable_search,
+)
 from starloom.llm.frames import documents, span_columns
+from starloom.llm.vector_rows import sound
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -96,4 +100,25 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN, with_ids=False)
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").filter(sound(F.col("embedding")))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = hard_negatives.whole_components(F.col("embedding"))
+    return hard_negatives.mine(
+        rows.select(F.col("vec_id").alias("id"), moved.alias("label"), whole.alias("vector")), F.col("id") % 50 == 0
+    )
+
+
+@query
+def op13_stable_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return stable_search.nearest(rows, F.col("vec_id") % 20 == 0, "vec_id", "embedding")
+
+
 SQL: dict[str, str] = oracles.SQL
