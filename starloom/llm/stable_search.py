@@ -10,8 +10,9 @@
 3. A query first searches one bucket of its own cell, which gives a first k-th distance d. It is then
    sent to the buckets of those cells whose box, at projected distance r, fails the stopping test.
 4. In a bucket a query verifies whole leaves in the order of their projected distance, by inner products
-   of the original vectors, until the test holds: with the next leaf at distance r, every better
-   candidate would have stayed nearer than r with probability SURE = chi2(r^2 / d^2).
+   of the original vectors, until the test holds: with the next leaf at distance r, a better
+   candidate would have stayed nearer than r with probability SURE = chi2(r^2 / d^2). Boxes are never
+   farther than their points, so more than SURE of the neighbours are found.
 5. The lists of the buckets are merged by a rank.
 
 Buckets and the queries that meet one at a time are bounded. Of equal vectors only the k + 1 smallest
@@ -40,13 +41,14 @@ from starloom.llm.vector_rows import cogrouped, matrix, sound
 from starloom.session import cut_lineage
 
 DIMENSIONS = 8  # an even number, which the closed form of the chi-square distribution needs
-SURE = 0.95
+SURE = 0.9
 SAMPLE = 16_384
 LEAST_SAMPLED = 64  # sampled rows per cell
 BUCKET = 4096  # rows of a bucket, about
 SLOT = 4096  # queries that meet a bucket at once, about
 LEAF = 32
-TOGETHER = 256  # queries that walk at once
+STEP = 16  # leaves that a query visits before it looks at its k-th distance again
+TOGETHER = 1024  # queries that walk at once
 SEED = 42
 
 
@@ -147,7 +149,7 @@ def box_distances(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.n
 
 
 class Bucket:
-    """Candidates of one bucket in the leaves of a kd-tree."""
+    """Candidates of one bucket, leaf by leaf of a kd-tree."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, projection: Projection):
         points = projection.candidates(vectors)
@@ -155,43 +157,72 @@ class Bucket:
         self.projection = projection
         self.low = np.array([points[own].min(axis=0) for own in leaves])
         self.high = np.array([points[own].max(axis=0) for own in leaves])
-        width = max(map(len, leaves))
-        self.ids = np.full((len(leaves), width), -1, np.int64)
-        self.there = np.zeros((len(leaves), width), bool)
-        self.vectors = np.zeros((len(leaves), vectors.shape[1], width))
-        for i, own in enumerate(leaves):
-            self.ids[i, : len(own)] = ids[own]
-            self.there[i, : len(own)] = True
-            self.vectors[i, :, : len(own)] = vectors[own].T
+        self.sizes = np.array([len(own) for own in leaves])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        order = np.concatenate(leaves)
+        self.ids, self.vectors = ids[order], vectors[order]
+        self.longest = np.sqrt(np.einsum("ij,ij->i", self.vectors, self.vectors).max())
+
+    def products(self, queries: np.ndarray, row: np.ndarray, leaf: np.ndarray, place: np.ndarray, width: int) -> np.ndarray:
+        """Inner products by matrices, one per leaf; column place of row gets the leaf's candidates."""
+        most = int(self.sizes.max())
+        out = np.full((len(queries), width * most), -np.inf)
+        order = np.argsort(leaf, kind="stable")
+        row, leaf, place = row[order], leaf[order], place[order]
+        for begin in np.flatnonzero(np.r_[True, leaf[1:] != leaf[:-1]]):
+            end = np.searchsorted(leaf, leaf[begin], "right")
+            start, size = self.starts[leaf[begin]], self.sizes[leaf[begin]]
+            columns = place[begin:end, None] * most + np.arange(size)
+            out[row[begin:end, None], columns] = queries[row[begin:end]] @ self.vectors[start : start + size].T
+        return out
+
+    def exact(self, queries: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Inner products of rows, summed in the order of the components."""
+        total = np.zeros(len(at))
+        for x, y in zip(queries.T, self.vectors[at].T):
+            total += x * y
+        return total
 
     def search(self, queries: np.ndarray, first: np.ndarray, k: int, limit: float) -> tuple[np.ndarray, np.ndarray, int]:
         """Scores and ids of the k best verified candidates per query, and how many were verified.
 
-        first has k-th scores known from elsewhere. Free places have a score of minus infinity.
+        first has k-th scores known from elsewhere. Free places have a score of minus infinity. Matrix
+        products only choose, within a bound on their rounding, what is summed exactly.
         """
-        n = len(queries)
+        n, most = len(queries), int(self.sizes.max())
         scores, ids = np.full((n, k), -np.inf), np.full((n, k), np.iinfo(np.int64).max)
+        slack = 4 * queries.shape[1] * np.finfo(float).eps * self.longest * np.sqrt(np.einsum("ij,ij->i", queries, queries))
         reach = box_distances(self.projection.queries(queries), self.low, self.high)
         order = np.argsort(reach, axis=1, kind="stable")
         active, verified = np.arange(n), 0
-        for step in range(order.shape[1]):
-            leaf = order[active, step]
+        for begin in range(0, order.shape[1], STEP):
+            leaf = order[active, begin : begin + STEP]
             known = np.maximum(first[active], scores[active, -1])
-            open_ = reach[active, leaf] <= limit * self.projection.distances(queries[active], known)
-            active, leaf, known = active[open_], leaf[open_], known[open_]
+            bound = limit * self.projection.distances(queries[active], known)
+            open_ = np.take_along_axis(reach[active], leaf, 1) <= bound[:, None]
+            going = open_[:, 0]  # leaves come in the order of their distance
+            active, leaf, known, open_ = active[going], leaf[going], known[going], open_[going]
             if not len(active):
                 break
-            # a sum over an axis that isn't the last runs in the order of the components
-            found = np.add.reduce(self.vectors[leaf] * queries[active][:, :, None], axis=1)
-            found = np.where(self.there[leaf], found, -np.inf)
-            verified += int(self.there[leaf].sum())
-            better = np.flatnonzero((found >= known[:, None]).any(axis=1) & (found > -np.inf).any(axis=1))
-            rows = active[better]
-            both = np.concatenate([scores[rows], found[better]], axis=1)
-            names = np.concatenate([ids[rows], self.ids[leaf[better]]], axis=1)
-            best = np.lexsort((names, -both), axis=1)[:, :k]
-            scores[rows] = np.take_along_axis(both, best, 1)
-            ids[rows] = np.take_along_axis(names, best, 1)
+            row, place = np.nonzero(open_)
+            leaf_of = leaf[row, place]
+            verified += int(self.sizes[leaf_of].sum())
+            found = self.products(queries[active], row, leaf_of, place, leaf.shape[1])
+            if found.shape[1] > k:
+                known = np.maximum(known, np.partition(found, -k, axis=1)[:, -k])
+            row, column = np.nonzero((found >= (known - slack[active])[:, None]) & (found > -np.inf))
+            at = self.starts[leaf[row, column // most]] + column % most
+            better = self.exact(queries[active[row]], at)
+            merged = np.unique(row)
+            row = np.searchsorted(merged, row)
+            rows = active[merged]
+            owner = np.concatenate([np.repeat(np.arange(len(rows)), k), row])
+            both = np.concatenate([scores[rows].ravel(), better])
+            names = np.concatenate([ids[rows].ravel(), self.ids[at]])
+            best = np.lexsort((names, -both, owner))
+            starts = np.searchsorted(owner[best], np.arange(len(rows)))
+            chosen = best[starts[:, None] + np.arange(k)]
+            scores[rows], ids[rows] = both[chosen], names[chosen]
         return scores, ids, verified
 
 
