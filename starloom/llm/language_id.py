@@ -7,13 +7,16 @@ the score is its posterior under equal priors. A word without a known n-gram say
 accepted if at least LEAST_KNOWN of its words say something.
 
 Fitting reads a sample of labelled rows, drawn by a hash of the id so that about MAX_ROWS rows are
-expected at any size of table; it counts words in one aggregation and derives n-grams from the
-counted words. The model keeps the MAX_WORDS and MAX_GRAMS most frequent entries, so what goes to
-the workers is bounded whatever the corpus. Prediction covers all words of all texts in a narrow
+expected at any size of table; it counts words in one aggregation and the n-grams of all counted
+words in another. The model keeps the MAX_WORDS and MAX_GRAMS most frequent entries of every
+language, with their counts in all languages, so what goes to the workers grows with the number of
+languages only and a rare language has as many entries as it fills. Prediction covers all words of all texts in a narrow
 pass; a worker's cache of unseen words holds at most KEEP entries.
 
-Null texts, texts without letters and texts without a known word or n-gram give `und` with score 0;
-so does every text if nothing was learned (an empty table, no labels). Null ids are never learned from, nor rows with a null label;
+Null texts and texts without letters give `und` with score 0; so does every text if nothing was
+learned (an empty table, no labels). A text with letters but without a known word or n-gram gets the
+language with the most words learned (ties: the smaller name) with score 1/n; `accepted` rejects it.
+Null ids are never learned from, nor rows with a null label;
 repeated rows each give a row and count as often as they occur; other columns are ignored.
 """
 
@@ -21,25 +24,27 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import regex
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.frames import free_name, map_rows, map_texts
+from starloom.session import cut_lineage
 
 MAX_ROWS = 20_000
-MAX_WORDS = 60_000
-MAX_GRAMS = 40_000
+MAX_WORDS = 20_000  # per language
+MAX_GRAMS = 15_000  # per language
 ORDERS = (4, 3, 2, 1)
 KEEP = 100_000
 LEAST_KNOWN = 0.5
 UNKNOWN = "und"
 
 WORD = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}+")
 
 
 @dataclass(frozen=True)
@@ -47,6 +52,7 @@ class Model:
     """Centred log frequencies: a row of one value per language for each word and n-gram."""
 
     languages: tuple[str, ...]
+    common: str  # the language with the most words learned
     words: dict[str, int]
     grams: dict[str, int]
     word_rows: np.ndarray
@@ -82,34 +88,49 @@ def grams_of(word: str, order: int) -> list[str]:
     return [edged[i : i + order] for i in range(len(edged) - order + 1)]
 
 
+def all_grams(word: Column) -> Column:
+    """The n-grams of a word, of all orders, as grams_of gives them."""
+    def cut(text: Column, order: int) -> Column:
+        places = F.sequence(F.lit(1), F.length(text) - order + 1)
+        none = F.array().cast("array<string>")
+        return F.when(F.length(text) >= order, F.transform(places, lambda i: F.substring(text, i, F.lit(order)))).otherwise(none)
+
+    edged = F.concat(F.lit("^"), word, F.lit("$"))
+    return F.concat(*(cut(edged if order > 1 else word, order) for order in ORDERS))
+
+
+def kept_entries(counts: DataFrame, most: int) -> dict[str, dict[str, int]]:
+    """Counts by language of every entry that is among the most frequent ones of some language."""
+    order = Window.partitionBy("language").orderBy(F.desc("n"), "entry")
+    ranked = counts.withColumn("place", F.row_number().over(order))
+    by = ranked.groupBy("entry").agg(F.min("place").alias("place"), F.collect_list(F.struct("language", "n")).alias("by"))
+    return {r.entry: {x.language: x.n for x in r.by} for r in by.filter(F.col("place") <= most).orderBy("entry").collect()}
+
+
 def learn(
     docs: DataFrame,
     label_col: str = "lang",
     id_col: str = "doc_id",
     text_col: str = "text",
     max_rows: int = MAX_ROWS,
+    max_words: int = MAX_WORDS,
+    max_grams: int = MAX_GRAMS,
 ) -> Model:
     labelled = docs.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
     rows = sampled(labelled, F.col(id_col), max_rows)
     words = rows.select(
         F.col(label_col).cast("string").alias("language"),
-        F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"\p{L}+"), F.lit(0))).alias("word"),
-    )
-    counts = words.groupBy("language", "word").agg(F.count(F.lit(1)).alias("n"))
-    frequent = counts.orderBy(F.desc("n"), "word", "language").limit(MAX_WORDS).collect()
-    by_word: dict[str, dict[str, int]] = defaultdict(dict)
-    by_gram: dict[str, dict[str, int]] = defaultdict(lambda: defaultdict(int))
-    for language, word, n in frequent:
-        by_word[word][language] = n
-        for order in ORDERS:
-            for gram in grams_of(word, order):
-                by_gram[gram][language] += n
-    kept = sorted(by_gram, key=lambda g: (-sum(by_gram[g].values()), g))[:MAX_GRAMS]
-    languages = tuple(sorted({row.language for row in frequent}))
-    return Model(
-        languages,
-        *(x for pair in zip(log_rows(by_word, languages), log_rows({g: by_gram[g] for g in kept}, languages)) for x in pair),
+        F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"\p{L}+"), F.lit(0))).alias("entry"),
     )
+    counts = cut_lineage(words.groupBy("language", "entry").agg(F.count(F.lit(1)).alias("n")))
+    grams = counts.select("language", "n", F.explode(all_grams(F.col("entry"))).alias("entry"))
+    grams = grams.groupBy("language", "entry").agg(F.sum("n").alias("n"))
+    by_word, by_gram = kept_entries(counts, max_words), kept_entries(grams, max_grams)
+    sizes: dict[str, int] = {r.language: r.n for r in counts.groupBy("language").agg(F.sum("n").alias("n")).collect()}
+    languages = tuple(sorted(sizes))
+    common = min(languages, key=lambda name: (-sizes[name], name), default=UNKNOWN)
+    tables = [log_rows(by_word, languages), log_rows(by_gram, languages)]
+    return Model(languages, common, tables[0][0], tables[1][0], tables[0][1], tables[1][1])
 
 
 class Scorer:
@@ -154,11 +175,13 @@ class Scorer:
     def judge(self, text: str) -> tuple[str, float, float]:
         """Language, score and the share of words that say something."""
         words = WORD.findall(text.lower())
+        if not all(map(str.isalpha, words)):  # digits such as superscripts
+            words = [part for word in words for part in LETTERS.findall(word)]
         if not words or not self.model.languages:
             return UNKNOWN, 0.0, 0.0
         total, n = self.total(words)
         if not n:
-            return UNKNOWN, 0.0, 0.0
+            return self.model.common, round(1 / len(self.model.languages), 9), 0.0
         best = int(total.argmax())
         return self.model.languages[best], round(1 / math.fsum(np.exp(total - total[best])), 9), n / len(words)
 

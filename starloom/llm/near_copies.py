@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.frames import free_name
 from starloom.llm.simhash import LOWER, WORD, components
+from starloom.operators.skew import BROADCAST_BYTES
 from starloom.session import cut_lineage
 
 SHINGLE = 5
@@ -41,6 +42,8 @@ BANDS, ROWS = 40, 5
 #: Bits of the sketch, and how many must agree: 6.4 standard deviations below the mean at 0.8.
 SKETCH, LEAST_AGREEING = 192, 146
 SEED = 42
+#: Bytes of a row of ids in a hash table, at most.
+ROW_BYTES = 64
 #: Rows of an Arrow batch; a row may hold two texts.
 BATCH_CONF, BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", 256
 
@@ -137,6 +140,12 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "src long, dst long")
 
 
+def small(rows: DataFrame) -> DataFrame:
+    """rows, broadcast if they are few: texts then stay where they are."""
+    rows = cut_lineage(rows)
+    return F.broadcast(rows) if rows.count() * ROW_BYTES <= BROADCAST_BYTES else rows
+
+
 def similar_sets(distinct: DataFrame, texts: DataFrame) -> DataFrame:
     """node and root of every set that is linked to another, over distinct (set_key, bands, sketch, ...).
 
@@ -155,7 +164,7 @@ def similar_sets(distinct: DataFrame, texts: DataFrame) -> DataFrame:
             "set_key", F.col("first_id").alias("wanted_id"), F.col("first_key").alias("wanted_key")
         )
         same = F.col("doc_id").eqNullSafe(F.col("wanted_id")) & (F.col("text_key") == F.col("wanted_key"))
-        found = texts.join(wanted, same).select("set_key", "text").dropDuplicates(["set_key"])
+        found = texts.join(small(wanted), same).select("set_key", "text").dropDuplicates(["set_key"])
         found = cut_lineage(found)
         with small_batches(found.sparkSession):
             return cut_lineage(confirmed(close, found))
@@ -193,8 +202,8 @@ def similar_sets(distinct: DataFrame, texts: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row left of every group of near copies: the one of the smallest id, nulls last.
 
-    A group is a component of the links of similarity LEAST or more. Texts move once, in the join
-    that keeps them, besides those of candidates.
+    A group is a component of the links of similarity LEAST or more. Rows are left out by a join with
+    the ids that go, which moves no text while these are few.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).withColumn("text_key", F.xxhash64("text"))
@@ -210,7 +219,19 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     roots = similar_sets(distinct, texts)
     named = distinct.select("set_key", "first").join(roots, F.col("set_key") == F.col("node"), "left")
     kept = named.groupBy(F.coalesce("root", "set_key").alias("root")).agg(F.min("first").alias("kept"))
-    kept_id, kept_key, key = (free_name(docs, n) for n in ("kept_id", "kept_key", "text_key"))
-    kept = kept.select(F.col("kept.id").alias(kept_id), F.col("kept.key").alias(kept_key))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col(kept_id)) & (F.col(key) == F.col(kept_key))
-    return docs.withColumn(key, F.xxhash64(text)).join(kept, same, "left_semi").dropDuplicates([id_col, key]).drop(key)
+    kept = kept.select(F.col("kept.id").alias("kept_id"), F.col("kept.key").alias("kept_key"))
+    pairs = signed.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    stays = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_key") == F.col("kept_key"))
+    found_id, found_key, key = (free_name(docs, n) for n in ("found_id", "found_key", "text_key"))
+
+    def listed(rows: DataFrame) -> DataFrame:
+        return small(rows.select(F.col("doc_id").alias(found_id), F.col("text_key").alias(found_key)))
+
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(found_id)) & (F.col(key) == F.col(found_key))
+    left = docs.withColumn(key, F.xxhash64(text)).join(listed(pairs.join(kept, stays, "left_anti")), same, "left_anti")
+    repeated = cut_lineage(pairs.filter("n > 1"))
+    if repeated.isEmpty():
+        return left.drop(key)
+    again = listed(repeated)
+    once = left.join(again, same, "left_semi").dropDuplicates([id_col, key])
+    return left.join(again, same, "left_anti").union(once).drop(key)
