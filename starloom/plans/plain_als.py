@@ -6,6 +6,7 @@ and a batched solve of the small k x k systems.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -17,17 +18,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.hashing import hex_window
 from ..functions.vectors import dot
 from ..operators.cleaning import dedupe_last, observed_only
-from ..operators.skew import (
-    BROADCAST_BYTES, SALT, add_salt, default_salts, hot_keys, replicate, skew_join,
-)
-from ..operators.stats import dataset_stats
+from ..operators.skew import SALT, add_salt, default_salts, hot_keys, skew_join
 from ..schemas import Columns
 from ..session import cut_lineage
 from .model import FactorModel
+from .rating_blocks import Equations, RatingBlocks, Weighting, lay_out
 
 INIT_SCALE = 0.1
 HELD_SUMS = 8_000_000  # doubles per task
-SUMS_COST = 10
 
 
 def initial_factors(
@@ -199,97 +197,95 @@ def train_plain_als(
     scaled: bool = False,
     seed: int = 42,
     cols: Columns = Columns(),
-    broadcast_bytes: int = BROADCAST_BYTES,
     track_rmse: bool = True,
+    implicit: bool = False,
+    alpha: float = 1.0,
 ) -> PlainAlsRun:
     """Alternate user and item half steps; per iteration users come first.
 
-    A repeated pair counts once (its last rating), a rating at or below 0 is not observed, and an
-    entity without an observed rating keeps its initial vector.
+    A repeated pair counts once (its last rating), and an entity without an observed rating keeps its
+    initial vector. Explicit: a rating at or below 0 is not observed. Implicit: every pair of a user
+    and an item counts; a rating r gives the preference [r > 0] with confidence 1 + alpha |r|, all
+    other pairs the preference 0 with confidence 1. Their sum is one k x k matrix per half step, to
+    which the ratings add, so the pairs are never built.
 
-    The ratings are laid out once by (user, salt), where the salt splits users that hold a large
-    share, and stay cached in that layout. A user step with broadcast item factors then moves no
-    rating. An item step joins the user factors to that layout and moves vectors, or partial sums
-    where these are far fewer. Factor tables are checkpointed after every half step, so lineage
-    stays one step deep.
+    Ratings are laid out once per side (see ``rating_blocks``). The error after an iteration comes
+    from the sums of its item step, without another pass: explicit, the RMSE of the nonzero ratings;
+    implicit, the weighted RMSE of the preferences over all pairs of a user and a rated item. Factor tables are checkpointed
+    after every half step, so lineage stays one step deep.
     """
-    spark = ratings.sparkSession
+    if reg <= 0:
+        raise ValueError("reg must be above zero; without it an entity with few ratings has no unique solution")
+    weighting = Weighting(implicit, alpha)
     last = dedupe_last(ratings, cols).where(F.col(cols.rating) != 0)
-    last = last.select(cols.user, cols.item, cols.rating)
-    salts = default_salts(ratings)
-    last.persist(StorageLevel.MEMORY_AND_DISK)
-    hot = hot_keys(last, cols.user, cols.item)
-    hot_users, hot_items = hot[cols.user], hot[cols.item]
-    by_user = (
-        add_salt(last, cols.user, hot_users, salts)
-        .repartition(salts, cols.user, SALT)
-        .sortWithinPartitions(cols.user, SALT)
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    last = last.select(cols.user, cols.item, cols.rating).persist(StorageLevel.MEMORY_AND_DISK)
 
     def start(column: str, side: str) -> DataFrame:
         ids = ratings.select(F.col(column).alias("id")).where("id IS NOT NULL").distinct()
         return cut_lineage(initial_factors(ids, rank, seed, side))
 
-    def keep_unsolved(initial: DataFrame, solved: DataFrame, all_solved: bool) -> DataFrame:
-        if all_solved:
-            return solved
-        found = solved.withColumnRenamed("features", "_solved")
-        return initial.join(found, "id", "left").select(
-            "id", F.coalesce("_solved", "features").alias("features")
-        )
-
-    first_users, first_items = start(cols.user, "user"), start(cols.item, "item")
-    row_bytes = 8 * rank + 64
-    n_users, n_items = first_users.count(), first_items.count()
-    users_fit = n_users * row_bytes <= broadcast_bytes
-    items_fit = n_items * row_bytes <= broadcast_bytes
-
-    def with_items(rows: DataFrame, items: DataFrame) -> DataFrame:
-        dim = items.withColumnRenamed("id", cols.item)
-        if items_fit:
-            return rows.join(F.broadcast(dim), cols.item)
-        plain = [c for c in rows.columns if c != SALT]
-        return skew_join(rows.select(plain), dim, cols.item, broadcast_bytes=0, hot=hot_items)
-
-    def with_users(rows: DataFrame, users: DataFrame) -> DataFrame:
-        dim = users.withColumnRenamed("id", cols.user)
-        if users_fit:
-            return rows.join(F.broadcast(dim), cols.user)
-        return rows.join(replicate(dim, cols.user, hot_users, salts), [cols.user, SALT])
-
-    def train_rmse(users: DataFrame, items: DataFrame) -> float:
-        rows = with_users(by_user, users.withColumnRenamed("features", "_u"))
-        rows = with_items(rows, items.withColumnRenamed("features", "_v"))
-        error = dot(F.col("_u"), F.col("_v"), rank) - F.col(cols.rating)
-        return rows.agg(F.sqrt(F.avg(error * error)).alias("rmse")).first()["rmse"]
-
+    laid: list[RatingBlocks] = []
     try:
-        observed = observed_only(by_user, cols)
-        found = dataset_stats(observed, cols).first()
-        last.unpersist()
-        users_solved, items_solved = found["num_users"] == n_users, found["num_items"] == n_items
-        # Numbers to shuffle per item step: sums per (item, task), or one vector per rating. Sums
-        # of unordered rows also take more work, so they must be far fewer.
-        sums = n_items * salts * (rank * (rank + 3) // 2 + 1)
-        sums_win = SUMS_COST * sums < found["num_ratings"] * (rank + 2)
-        gather_items = None if sums_win else hot_items
-        gather_users = None if items_fit else hot_users
-        users, items, history = first_users, first_items, []
+        first = {"user": start(cols.user, "user"), "item": start(cols.item, "item")}
+        counts = {side: table.count() for side, table in first.items()}
+        row_bytes = 8 * rank + 64
+        sizes = {side: n * row_bytes for side, n in counts.items()}
+        observed = last if implicit else observed_only(last, cols)
+        found = last.agg(
+            F.count("*").alias("n"), F.count_if(F.col(cols.rating) > 0).alias("observed"),
+            F.sum(F.abs(cols.rating)).alias("weight"),
+        ).first()
+        n_laid = found["n"] if implicit else found["observed"]
+        for entity, other in ((cols.user, cols.item), (cols.item, cols.user)):
+            laid.append(lay_out(observed, entity, other, n_laid, cols))
+        rated = {side: b.rows.select("entity").distinct().count() for side, b in zip(("user", "item"), laid)}
+        negative = last.where(F.col(cols.rating) < 0) if not implicit and found["n"] > found["observed"] else None
+        total = counts["user"] * rated["item"] + alpha * (found["weight"] or 0.0) if implicit else found["n"]
+
+        def solve(blocks: RatingBlocks, side: str, fixed: DataFrame, fixed_side: str) -> DataFrame:
+            shared = gram_of(fixed, rank) if implicit else np.zeros((rank, rank))
+            equations = Equations(rank, reg, scaled, weighting, shared)
+            solved = blocks.half_step(fixed, sizes[fixed_side], equations)
+            if rated[side] < counts[side]:
+                solved = first[side].join(solved.withColumnRenamed("features", "_solved"), "id", "left").select(
+                    "id", F.coalesce("_solved", "features").alias("features"), "error"
+                )
+            return cut_lineage(solved)
+
+        def squares(users: DataFrame, items: DataFrame) -> float:
+            """Sum of squared errors; negative ratings, which no equation holds, are scored one by one."""
+            inside = items.agg(F.sum("error").alias("s")).first()["s"] or 0.0
+            if negative is None:
+                return inside
+            rows = skew_join(negative, users.select(F.col("id").alias(cols.user), F.col("features").alias("_u")), cols.user, dim_bytes=sizes["user"])
+            rows = skew_join(rows, items.select(F.col("id").alias(cols.item), F.col("features").alias("_v")), cols.item, dim_bytes=sizes["item"])
+            error = dot(F.col("_u"), F.col("_v"), rank) - F.col(cols.rating)
+            return inside + (rows.agg(F.sum(error * error).alias("s")).first()["s"] or 0.0)
+
+        users, items, history = first["user"], first["item"], []
         for iteration in range(1, max_iter + 1):
-            rated = with_items(observed, items)
-            solved = solve_rated(
-                rated, cols.user, cols.rating, rank, reg, scaled, gather=gather_users
-            )
-            users = cut_lineage(keep_unsolved(first_users, solved, users_solved))
-            rated = with_users(observed, users)
-            solved = solve_rated(
-                rated, cols.item, cols.rating, rank, reg, scaled, gather=gather_items
-            )
-            items = cut_lineage(keep_unsolved(first_items, solved, items_solved))
-            if track_rmse:
-                history.append((iteration, train_rmse(users, items)))
+            users = solve(laid[0], "user", items, "item")
+            items = solve(laid[1], "item", users, "user")
+            if track_rmse and total:
+                # Rounding may leave a sum of almost zero below it.
+                history.append((iteration, math.sqrt(max(squares(users, items), 0.0) / total)))
+            elif track_rmse:
+                history.append((iteration, None))
     finally:
-        by_user.unpersist()
-    table = spark.createDataFrame(history, "iteration INT, rmse DOUBLE")
-    return PlainAlsRun(FactorModel(users, items, rank, cols, n_users, n_items), table)
+        for blocks in laid:
+            blocks.unpersist()
+        last.unpersist()
+    table = ratings.sparkSession.createDataFrame(history, "iteration INT, rmse DOUBLE")
+    users, items = users.select("id", "features"), items.select("id", "features")
+    return PlainAlsRun(FactorModel(users, items, rank, cols, counts["user"], counts["item"]), table)
+
+
+def gram_of(factors: DataFrame, rank: int) -> np.ndarray:
+    """Sum of v v^T over all factors: k (k + 1) / 2 numbers, whatever the number of factors."""
+    pairs = list(zip(*np.triu_indices(rank)))
+    f = F.col("features")
+    sums = factors.agg(*(F.sum(f[int(i)] * f[int(j)]).alias(f"g{i}_{j}") for i, j in pairs)).first()
+    out = np.zeros((rank, rank))
+    for (i, j), value in zip(pairs, sums):
+        out[i, j] = out[j, i] = value or 0.0
+    return out

@@ -88,12 +88,14 @@ def preprocess_all(
     out: str,
     sizes: Iterable[str] | None = None,
     test_size: float = 0.2,
+    seed: int = 42,
+    names: Sequence[str] = GENRE_NAMES,
 ) -> DataFrame:
     """(size, succeeded, message) for each size; one failing size does not stop the others."""
     outcomes = []
     for size in available_sizes(spark, root) if sizes is None else sizes:
         try:
-            preprocess(spark, root, size, out, test_size)
+            preprocess(spark, root, size, out, test_size, seed, names)
             outcomes.append((size, True, None))
         except Exception as failure:  # the outcome of each size is part of the result
             outcomes.append((size, False, str(failure).split("\n")[0]))

@@ -241,14 +241,14 @@ def recommend_excluding_rated(
     model: FactorModel,
     ratings: DataFrame,
     n: int = 10,
-    ties: str = "rank",
+    ties: str = "row",
     **sizes,
 ) -> DataFrame:
     """(user, item, prediction): the ``n`` best items the user has not rated.
 
     Users and items are those occurring in ``ratings``. A user with fewer than n unrated items gets
-    fewer rows. ``ties`` as in ``top_n_per_user``. The default returns all items tied with the n-th;
-    for a user vector of zeros that is the whole catalogue, so ask for "row" where that can occur.
+    fewer rows. ``ties`` as in ``top_n_per_user``: "rank" returns all items tied with the n-th, which
+    for a user vector of zeros is the whole catalogue.
     """
     cols = require_model(model).cols
     sizes = _tiles(model) | sizes

@@ -51,6 +51,9 @@ def read_metrics(
     return spark.read.schema(schema).json(found, multiLine=not lines)
 
 
-def ids_frame(spark: SparkSession, ids: Iterable[int], column: str) -> DataFrame:
-    """A one-column table of user or item ids to score."""
-    return spark.createDataFrame([(int(i),) for i in ids], f"{column} INT")
+def ids_frame(spark: SparkSession, ids: Iterable[int | str], column: str) -> DataFrame:
+    """A one-column table of user or item ids to score: 64-bit numbers, or strings if any id is one."""
+    wanted = list(ids)
+    if any(isinstance(i, str) for i in wanted):
+        return spark.createDataFrame([(str(i),) for i in wanted], f"{column} STRING")
+    return spark.createDataFrame([(int(i),) for i in wanted], f"{column} BIGINT")

@@ -8,7 +8,7 @@ from starloom import Recommender
 from starloom.operators.quality import rmse
 from starloom.plans import evaluate as evaluation
 from starloom.plans import model as models
-from starloom.plans import plain_als, runs
+from starloom.plans import plain_als, rating_blocks, runs
 from starloom.plans.mllib_als import fit_factors, train_als
 from starloom.sources import read_metrics, write_metrics
 from workload import views
@@ -56,15 +56,15 @@ def test_half_step_equals_dense_solution(spark, small, scaled, rank):
     assert_same(vectors(found), expected)
 
 
-@pytest.mark.parametrize("sums_cost,held_sums", [(0, 40), (10, 8_000_000)])
-@pytest.mark.parametrize("broadcast_bytes", [10_000_000, 0])
-def test_plain_als_equals_dense_iterations(small, monkeypatch, broadcast_bytes, sums_cost, held_sums):
-    """With and without broadcast; moving partial sums (flushed early) or vectors."""
-    monkeypatch.setattr(plain_als, "SUMS_COST", sums_cost)
-    monkeypatch.setattr(plain_als, "HELD_SUMS", held_sums)
+@pytest.mark.parametrize("broadcast_bytes,part", [(10_000_000, 1 << 16), (0, 1 << 16), (0, 3)])
+def test_plain_als_equals_dense_iterations(small, monkeypatch, broadcast_bytes, part):
+    """With and without broadcast; entities whole and in parts of few ratings."""
+    monkeypatch.setattr(rating_blocks, "BROADCAST_BYTES", broadcast_bytes)
+    monkeypatch.setattr(rating_blocks, "PART_RATINGS", part)
+    monkeypatch.setattr(rating_blocks, "CHUNK", 10)
     ratings, rows = small
     rank, reg = 3, 0.1
-    run = plain_als.train_plain_als(ratings, rank, 3, reg, seed=5, broadcast_bytes=broadcast_bytes)
+    run = plain_als.train_plain_als(ratings, rank, 3, reg, seed=5)
     last = {}
     for u, i, r, t in sorted(rows, key=lambda x: (x[3], x[2])):
         last[u, i] = r
@@ -84,6 +84,45 @@ def test_plain_als_equals_dense_iterations(small, monkeypatch, broadcast_bytes,
     np.testing.assert_allclose([r["rmse"] for r in run.history.orderBy("iteration").collect()], history)
 
 
+@pytest.mark.parametrize("scaled", [False, True])
+@pytest.mark.parametrize("part", [1 << 16, 4])
+def test_implicit_plain_als_equals_dense_iterations(ratings_of, monkeypatch, scaled, part):
+    """A hot item in parts, a disliked pair, and an item without any rating but zero."""
+    monkeypatch.setattr(rating_blocks, "PART_RATINGS", part)
+    rng = np.random.default_rng(2)
+    rows = [(u, 20, float(1 + u % 3), u) for u in range(12)]
+    rows += [(int(u), int(i), 2.0, 50) for u, i in {(a, b) for a, b in rng.integers(0, 8, (25, 2))}]
+    rows += [(3, 30, -2.0, 60), (4, 40, 0.0, 61)]
+    rank, reg, alpha = 3, 0.2, 1.5
+    ratings = ratings_of(rows)
+    run = plain_als.train_plain_als(ratings, rank, 2, reg, scaled, seed=5, implicit=True, alpha=alpha)
+    seen = [(u, i, r) for u, i, r, _ in rows if r]
+    sides = [vectors(plain_als.initial_factors(ratings.select(F.col(c).alias("id")).distinct(), rank, 5, side))
+             for c, side in (("userId", "user"), ("movieId", "item"))]
+
+    def solve(triples, fixed):
+        gram = sum(np.outer(v, v) for v in fixed.values())
+        solved = {}
+        for entity in {t[0] for t in triples}:
+            own = [(fixed[o], r) for e, o, r in triples if e == entity]
+            a = gram + sum(alpha * abs(r) * np.outer(v, v) for v, r in own)
+            b = sum((1 + alpha * r) * v * (r > 0) for v, r in own)
+            solved[entity] = np.linalg.solve(a + reg * (sum(r > 0 for _, r in own) if scaled else 1) * np.eye(rank), b)
+        return solved
+
+    history = []
+    for _ in range(2):
+        sides[0] = sides[0] | solve(seen, sides[1])
+        sides[1] = sides[1] | solve([(i, u, r) for u, i, r in seen], sides[0])
+        given = {(u, i): r for u, i, r in seen}
+        weights = {(u, i): 1 + alpha * abs(given.get((u, i), 0.0)) for u in sides[0] for i in sides[1] if i != 40}
+        loss = sum(w * ((given.get(p, 0.0) > 0) - sides[0][p[0]] @ sides[1][p[1]]) ** 2 for p, w in weights.items())
+        history.append(float(np.sqrt(loss / sum(weights.values()))))
+    assert_same(vectors(run.model.users), sides[0])
+    assert_same(vectors(run.model.items), sides[1])
+    np.testing.assert_allclose([r["rmse"] for r in run.history.orderBy("iteration").collect()], history, rtol=1e-6)
+
+
 def test_initial_factors_look_normal(spark):
     ids = spark.range(4000).select(F.col("id").cast("int").alias("id"))
     values = np.array([r["features"] for r in plain_als.initial_factors(ids, 3, 1, "user").collect()])
@@ -193,11 +232,12 @@ def test_any_ids_can_be_trained(planted, kind, rows_of):
 
 def test_solvers_refuse_what_they_cannot_do(ratings_of):
     some = ratings_of([(1, 1, 3.0, 1)])
-    for options in ({"solver": "plain", "implicit": True}, {"solver": "mllib", "scaled": True}):
-        with pytest.raises(ValueError):
-            runs.training_run(some, **options)
+    with pytest.raises(ValueError):
+        runs.training_run(some, solver="mllib", scaled=True)
     with pytest.raises(ValueError):
         plain_als.als_half_step(some, some, 2, reg=0)
+    with pytest.raises(ValueError):
+        plain_als.train_plain_als(some, 2, reg=0, implicit=True)
 
 
 def test_half_step_skips_null_ratings(spark, ratings_of):

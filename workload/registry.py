@@ -9,11 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from starloom.operators import (
     cleaning, ids, joins, layout, quality, ranking, reports, splits, stats,
 )
+from starloom.operators.skew import skew_join
 from starloom.plans import evaluate as evaluation
 from starloom.plans import model as models
 from starloom.plans import plain_als, preparation, recommend, runs
 from starloom.plans.mllib_als import fit_factors, train_als
 from starloom.plans.model import FactorModel
+from starloom.recommender import Recommender
 from starloom.schemas import GENRE_NAMES
 from starloom.session import scratch_path
 from starloom import sources
@@ -573,15 +575,16 @@ def exclude_rated(spark, sf_dir):
     return rounded(joins.exclude_rated(recommend.recommend_all_users(given_model(source), 10), train))
 
 
-TITLED = {"part_titles": "SELECT * FROM movies WHERE genres NOT LIKE 'ECONOMY%'"}
+TITLED = {"moved": 'SELECT "userId", CASE WHEN "movieId" % 7 = 0 THEN -"movieId" ELSE "movieId" END AS "movieId", prediction FROM recs'}
 TITLED_SQL = """SELECT "userId", "movieId", round(prediction, 6) AS prediction, title, genres
-    FROM recs {how} JOIN part_titles USING ("movieId")"""
+    FROM moved {how} JOIN movies USING ("movieId")"""
 
 
 def _titled(how: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        details = views.movies(spark, sf_dir).where(~F.col("genres").startswith("ECONOMY"))
-        recs = joins.enrich_titles(_unseen(spark, sf_dir, "row"), details, how)
+        unknown = F.when(F.col("movieId") % 7 == 0, -F.col("movieId")).otherwise(F.col("movieId"))
+        moved = _unseen(spark, sf_dir, "row").withColumn("movieId", unknown)
+        recs = joins.enrich_titles(moved, views.movies(spark, sf_dir), how)
         return recs.withColumn("prediction", r6("prediction"))
 
     return run
@@ -704,7 +707,7 @@ FLAT_SQL = "SELECT id, round(f0, 6) + 0.0 AS f0, round(f1, 6) + 0.0 AS f1 FROM"
 def gram(spark, sf_dir):
     source = views.ratings(spark, sf_dir)
     factors = views.item_factors(source).withColumnRenamed("id", "movieId")
-    sums = stats.gram(source.join(factors, "movieId"), "userId", 2)
+    sums = stats.gram(skew_join(source, factors, "movieId"), "userId", 2)
     return sums.select("userId", "n", *[r6(c) for c in ("a_0_0", "a_0_1", "a_1_1", "b_0", "b_1")])
 
 
@@ -1050,6 +1053,78 @@ def train_rmse_history(spark, sf_dir):
     return run.history.select("iteration", r6("rmse"))
 
 
+def _implicit_step_sql(entity: str, other: str, fixed: str) -> str:
+    """Confidence 1 + 2 rating of preference 1 for every rating, 1 of preference 0 for all other pairs."""
+    shared = ", ".join(f"sum({a} * {b}) AS g_{a[1]}_{b[1]}" for a, b in (("f0", "f0"), ("f0", "f1"), ("f1", "f1")))
+    sums = f"""SELECT "{entity}" AS id, count(*) AS n, g_0_0 + sum(2 * rating * f0 * f0) AS a_0_0,
+        g_0_1 + sum(2 * rating * f0 * f1) AS a_0_1, g_1_1 + sum(2 * rating * f1 * f1) AS a_1_1,
+        sum((1 + 2 * rating) * f0) AS b_0, sum((1 + 2 * rating) * f1) AS b_1
+        FROM last_rating JOIN {fixed} ON id = "{other}", (SELECT {shared} FROM {fixed})
+        GROUP BY 1, g_0_0, g_0_1, g_1_1"""
+    return _solve_sql(sums, 0.1, True)
+
+
+IMPLICIT = LAST | {
+    "items0": _init_sql("movieId", "item"),
+    "users1": _implicit_step_sql("userId", "movieId", "items0"),
+    "items1": _implicit_step_sql("movieId", "userId", "users1"),
+    "users2": _implicit_step_sql("userId", "movieId", "items1"),
+    "items2": _implicit_step_sql("movieId", "userId", "users2"),
+}
+
+
+def _implicit_loss_sql(iteration: int) -> str:
+    """All pairs at preference 0, and what the rated ones change."""
+    return f"""SELECT {iteration}::INT AS iteration, round(sqrt(
+        ((SELECT sum((u.f0 * v.f0 + u.f1 * v.f1) ** 2) FROM users{iteration} u, items{iteration} v)
+          + sum((1 + 2 * rating) * (1 - p) ** 2 - p ** 2))
+        / ((SELECT count(*) FROM users{iteration}) * (SELECT count(*) FROM items{iteration}) + sum(2 * rating))), 6) AS rmse
+      FROM (SELECT rating, u.f0 * v.f0 + u.f1 * v.f1 AS p FROM last_rating
+        JOIN users{iteration} u ON u.id = "userId" JOIN items{iteration} v ON v.id = "movieId")"""
+
+
+def _plain_implicit(spark: SparkSession, sf_dir: str) -> plain_als.PlainAlsRun:
+    source = views.ratings(spark, sf_dir)
+    return plain_als.train_plain_als(source, 2, 2, 0.1, scaled=True, implicit=True, alpha=2.0)
+
+
+@query(
+    "train_plain_implicit",
+    "SELECT 'user' AS side, id, round(f0, 6) + 0.0 AS f0, round(f1, 6) + 0.0 AS f1 FROM users2"
+    " UNION ALL SELECT 'item', id, round(f0, 6) + 0.0, round(f1, 6) + 0.0 FROM items2",
+    "ratings",
+    IMPLICIT,
+)
+def train_plain_implicit(spark, sf_dir):
+    model = _plain_implicit(spark, sf_dir).model
+    users = flat(model.users).select(F.lit("user").alias("side"), "id", "f0", "f1")
+    return users.unionByName(flat(model.items).select(F.lit("item").alias("side"), "id", "f0", "f1"))
+
+
+@query(
+    "train_implicit_history", f"{_implicit_loss_sql(1)} UNION ALL {_implicit_loss_sql(2)}", "ratings", IMPLICIT
+)
+def train_implicit_history(spark, sf_dir):
+    """The weighted error over all pairs of a user and an item, from the sums of the item steps."""
+    return _plain_implicit(spark, sf_dir).history.select("iteration", r6("rmse"))
+
+
+@query(
+    "recommend_wide_ids",
+    """SELECT "userId" + 8589934592 AS "userId", "movieId", round(prediction, 6) AS prediction FROM (
+        SELECT u.id::BIGINT AS "userId", v.id AS "movieId", u.f0 * v.f0 + u.f1 * v.f1 AS prediction
+        FROM users2 u, items2 v WHERE u.id = 7)
+      QUALIFY row_number() OVER (ORDER BY prediction DESC, "movieId") <= 10""",
+    "ratings",
+    PLAIN,
+)
+def recommend_wide_ids(spark, sf_dir):
+    """Train on user ids above 2^32 and look one of them up."""
+    source = views.ratings(spark, sf_dir).withColumn("userId", F.col("userId").cast("bigint") + F.lit(1 << 33))
+    rec = Recommender(spark, "plain").train(source, rank=2, max_iter=2, reg=0.1)
+    return rounded(rec.recommend_for_user((1 << 33) + 7, 10))
+
+
 def _distance(found: DataFrame, wanted: DataFrame, digits: int) -> DataFrame:
     """(id, difference): the largest difference of two vectors per id, rounded; null if one is missing."""
     pairs = found.join(wanted.withColumnRenamed("features", "_wanted"), "id", "full")
