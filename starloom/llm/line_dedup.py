@@ -1,101 +1,113 @@
-"""Repeated lines across a corpus, by hashing normalised lines.
+"""Repeated passages across a corpus, by hashing lines and the sentences in them.
 
-1. Every line of LEAST_WORDS words or more becomes a unit: its number, its offsets in code points
-   and a 128-bit digest of its text in lower case with single blanks.
+1. A text is cut after sentence marks and line ends, together with the blanks that follow; the pieces
+   make up the whole text. A piece with a word becomes a unit: its number, its offsets in code points,
+   its weight and a 128-bit digest of its text with A-Z in lower case and single blanks.
 2. Digests are grouped over the whole corpus, combined before the shuffle; of each digest that
-   occurs more than once the group keeps the earliest rank (id, line) and no list.
-3. Units meet the repeated digests; all but the earliest are removed. A line in a third of all
-   documents is one hot key of that join, whose unit side adaptive execution splits.
-4. Removed lines are gathered per document, bounded by its own lines, and the text is put together
+   occurs more than once the group keeps the earliest rank (id, number) and no list.
+3. Units meet the repeated digests; all but the earliest of a digest are later copies. A unit in a third
+   of all documents is one hot key of that join, whose unit side adaptive execution splits.
+4. Neighbouring later copies of a document form runs. A run of at least LEAST_WEIGHT is removed; a
+   lighter one stays, so that a short sentence which many writers use is no passage.
+5. Removed runs are gathered per document, bounded by its own units, and the text is put together
    from the stretches between them. Offsets refer to the original text.
 
+The weight of a unit is its number of words, or a tenth of its characters that aren't blanks if that
+is more, so that scripts without blanks count too. Words are split at ASCII blanks.
+
 Null and empty texts have no units and stay as they are (null counts as empty). Null ids rank last
-and are told apart by their texts. Repeated rows are one document: they keep the same lines. An
+and are told apart by their texts. Repeated rows are one document: they keep the same units. An
 empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-LEAST_WORDS = 5
+from starloom.llm.simhash import LOWER, WORD
+
+#: Sentence marks and blanks, fixed.
+MARKS, BLANKS = ".!?\u3002\uff01\uff1f", r" \t\n\x0b\f\r"
+PIECE = f"[^{MARKS}\\n]*[{MARKS}{BLANKS}]*"
+LEAST_WEIGHT = 20
+CHARS_A_WORD = 10
+
+pieces = re.compile(PIECE).finditer
 
 
-def units_of(text: str, least_words: int) -> Iterator[tuple[int, int, int, bytes]]:
-    start = 0
-    for number, line in enumerate(text.split("\n")):
-        words = line.lower().split()
-        if len(words) >= least_words:
+def units_of(text: str) -> Iterator[tuple[int, int, int, int, bytes]]:
+    """Number, start, end, weight and digest of every unit."""
+    for number, piece in enumerate(pieces(text)):
+        words = WORD.findall(piece.group().translate(LOWER))
+        if words:
+            weight = max(len(words), sum(map(len, words)) // CHARS_A_WORD)
             digest = hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
-            yield number, start, start + len(line), digest
-        start += len(line) + 1
+            yield number, piece.start(), piece.end(), weight, digest
 
 
-def units(texts: DataFrame, least_words: int) -> DataFrame:
-    """doc_id, text_key, line, start, stop and digest of every unit of texts (doc_id, text_key, text)."""
-    names = ["doc_id", "text_key", "line", "start", "stop", "digest"]
+def units(texts: DataFrame) -> DataFrame:
+    """doc_id, text_key, number, start, stop, weight and digest of every unit of texts (doc_id, text_key, text)."""
+    names = ["doc_id", "text_key", "number", "start", "stop", "weight", "digest"]
+    kinds = [pa.int32()] * 4 + [pa.binary()]
 
     def run(batches):
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 part = batch.slice(begin, 256)
-                owner, line, start, stop, digest = [], [], [], [], []
+                owner, found = [], []
                 for row, text in enumerate(part.column(2)):
-                    for number, a, b, key in units_of(text.as_py(), least_words):
-                        owner.append(row)
-                        line.append(number)
-                        start.append(a)
-                        stop.append(b)
-                        digest.append(key)
+                    own = list(units_of(text.as_py()))
+                    found += own
+                    owner += [row] * len(own)
                 place = pa.array(owner, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0).take(place), part.column(1).take(place), pa.array(line, pa.int32()),
-                        pa.array(start, pa.int32()), pa.array(stop, pa.int32()), pa.array(digest, pa.binary()),
-                    ],
-                    names,
-                )
-
-    schema = "doc_id long, text_key long, line int, start int, stop int, digest binary"
+                columns = [pa.array(column, kind) for column, kind in zip(zip(*found) if found else [[]] * 5, kinds)]
+                yield pa.RecordBatch.from_arrays([part.column(0).take(place), part.column(1).take(place), *columns], names)
+
+    schema = "doc_id long, text_key long, number int, start int, stop int, weight int, digest binary"
     return texts.select("doc_id", "text_key", "text").mapInArrow(run, schema)
 
 
-def without_repeated_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS
+def without_repeated_passages(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_weight: int = LEAST_WEIGHT
 ) -> DataFrame:
-    """doc_id, text (what is left), n_lines and removed, the spans (line, start, stop) taken out."""
+    """doc_id, text (what is left) and removed, the runs (start, stop, units) taken out.
+
+    With least_weight 1 every later copy of a line or sentence goes.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     texts = texts.withColumn("text_key", F.xxhash64("text"))
-    found = units(texts, least_words)
-    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.when(F.col("doc_id").isNull(), F.col("text_key")).alias("key"), "line")
-    ranked = found.withColumn("rank", rank)
+    rank = F.struct(
+        F.col("doc_id").isNull().alias("last"), "doc_id", F.when(F.col("doc_id").isNull(), F.col("text_key")).alias("key"), "number"
+    )
+    ranked = units(texts).withColumn("rank", rank)
     repeated = (
         ranked.groupBy("digest").agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     ).select("digest", "first")
     later = ranked.join(repeated, "digest").filter(F.col("rank") != F.col("first"))
-    removed = later.groupBy("doc_id", "text_key").agg(
-        F.sort_array(F.collect_set(F.struct("line", "start", "stop"))).alias("removed")
+    # repeated rows give every unit several times: dense_rank counts it once, and the sets below keep one
+    place = F.dense_rank().over(Window.partitionBy("doc_id", "text_key").orderBy("number"))
+    once = later.withColumn("run", F.col("number") - place).groupBy("doc_id", "text_key", "run", "number").agg(
+        F.first("start").alias("start"), F.first("stop").alias("stop"), F.first("weight").alias("weight")
     )
-    removed = removed.select(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"), "removed")
-    same = texts["doc_id"].eqNullSafe(F.col("of_id")) & (texts["text_key"] == F.col("of_key"))
-    joined = texts.join(removed, same, "left")
-    none = F.array().cast("array<struct<line:int,start:int,stop:int>>")
-    whole = joined.select(
-        "doc_id", F.split("text", "\n").alias("lines"), "text", F.coalesce("removed", none).alias("removed")
+    runs = once.groupBy("doc_id", "text_key", "run").agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"), F.count(F.lit(1)).cast("int").alias("units"), F.sum("weight").alias("weight")
     )
-    cuts = F.concat(F.array(F.lit(-1)), F.col("removed.line"), F.array(F.size("lines")))
-    cut = whole.withColumn("cuts", cuts)
-    stretches = F.transform(
-        F.sequence(F.lit(1), F.size("cuts") - 1),
-        lambda i: F.slice(
-            F.col("lines"), F.get(F.col("cuts"), i - 1) + 2, F.get(F.col("cuts"), i) - F.get(F.col("cuts"), i - 1) - 1
-        ),
+    removed = runs.filter(F.col("weight") >= least_weight).groupBy("doc_id", "text_key").agg(
+        F.sort_array(F.collect_list(F.struct("start", "stop", "units"))).alias("removed")
     )
-    left = F.when(F.size("removed") == 0, F.col("text")).otherwise(F.array_join(F.flatten(stretches), "\n"))
-    return cut.select("doc_id", left.alias("text"), F.size("lines").cast("long").alias("n_lines"), "removed")
+    removed = removed.select(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"), "removed")
+    same = texts["doc_id"].eqNullSafe(F.col("of_id")) & (texts["text_key"] == F.col("of_key"))
+    none = F.array().cast("array<struct<start:int,stop:int,units:int>>")
+    whole = texts.join(removed, same, "left").select("doc_id", "text", F.coalesce("removed", none).alias("removed"))
+    begins = F.concat(F.array(F.lit(0)), F.col("removed.stop"))
+    ends = F.concat(F.col("removed.start"), F.array(F.length("text")))
+    stretches = F.transform(F.arrays_zip(begins.alias("begin"), ends.alias("end")), lambda s: F.substring("text", s["begin"] + 1, s["end"] - s["begin"]))
+    left = F.when(F.size("removed") == 0, F.col("text")).otherwise(F.array_join(stretches, ""))
+    return whole.select("doc_id", left.alias("text"), "removed")

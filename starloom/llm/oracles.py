@@ -70,24 +70,34 @@ SELECT doc_id, {counts}, sha256({shown.format(base)}) AS base_sha256, {shown.for
 
 
 def line_sql() -> str:
+    piece = line_dedup.PIECE
     return rf"""
 WITH texts AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
-lines AS (
-  SELECT row, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no
+pieces AS (
+  SELECT row, doc_id, unnest(regexp_extract_all(text, '{piece}')) AS piece,
+    generate_subscripts(regexp_extract_all(text, '{piece}'), 1) AS no
   FROM texts),
 placed AS (
-  SELECT *, (sum(len(line) + 1) OVER (PARTITION BY row ORDER BY no) - len(line) - 1)::BIGINT AS start,
-    trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS unit
-  FROM lines),
-ranked AS (
-  SELECT *, len(string_split(unit, ' ')) >= {line_dedup.LEAST_WORDS}
-    AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, no) > 1 AS removed
-  FROM placed)
-SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed,
-  coalesce(sum(len(line)) FILTER (removed), 0)::BIGINT AS n_removed_chars,
-  coalesce(string_agg(start || ':' || (start + len(line)), ',' ORDER BY no) FILTER (removed), '') AS spans,
-  sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT removed), '')) AS kept_sha256
-FROM ranked GROUP BY row
+  SELECT *, (sum(len(piece)) OVER (PARTITION BY row ORDER BY no) - len(piece))::BIGINT AS start,
+    trim(regexp_replace(translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{SPACE}+', ' ', 'g')) AS unit
+  FROM pieces WHERE piece <> ''),
+weighed AS (
+  SELECT *, greatest(len(string_split(unit, ' ')), len(replace(unit, ' ', '')) // {line_dedup.CHARS_A_WORD}) AS weight,
+    unit <> '' AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, no) > 1 AS later
+  FROM placed),
+grouped AS (SELECT *, count(*) FILTER (NOT later) OVER (PARTITION BY row ORDER BY no) AS run FROM weighed),
+judged AS (
+  SELECT *, later AND coalesce(sum(weight) FILTER (later) OVER (PARTITION BY row, run), 0) >= {line_dedup.LEAST_WEIGHT} AS removed
+  FROM grouped),
+runs AS (
+  SELECT row, run, count(*) AS n, min(start) AS start, max(start + len(piece)) AS stop FROM judged WHERE removed GROUP BY row, run),
+spans AS (
+  SELECT row, sum(n)::BIGINT AS n, sum(stop - start)::BIGINT AS chars, string_agg(start || ':' || stop, ',' ORDER BY start) AS spans
+  FROM runs GROUP BY row),
+kept AS (SELECT row, string_agg(piece, '' ORDER BY no) FILTER (NOT removed) AS text FROM judged GROUP BY row)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_removed, coalesce(chars, 0)::BIGINT AS n_removed_chars,
+  coalesce(spans, '') AS spans, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM texts LEFT JOIN spans USING (row) LEFT JOIN kept USING (row)
 """
 
 

@@ -52,11 +52,12 @@ def op3_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.without_repeated_lines(documents(spark, sf_dir))
+    found = line_dedup.without_repeated_passages(documents(spark, sf_dir))
     spans = F.transform("removed", lambda s: F.concat_ws(":", s["start"], s["stop"]))
     sizes = F.transform("removed", lambda s: (s["stop"] - s["start"]).cast("long"))
+    n_units = F.aggregate("removed.units", F.lit(0).cast("long"), lambda a, b: a + b)
     return found.select(
-        "doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"),
+        "doc_id", n_units.alias("n_removed"),
         F.aggregate(sizes, F.lit(0).cast("long"), lambda a, b: a + b).alias("n_removed_chars"),
         F.concat_ws(",", spans).alias("spans"), F.sha2("text", 256).alias("kept_sha256"),
     )

@@ -186,20 +186,35 @@ def test_byte_query_equals_brute_force(spark, sf_dir):
     assert {r.doc_id: tuple(r)[1:] for r in QUERIES["op3_repeated_bytes"](spark, sf_dir).collect()} == wanted
 
 
-def test_lines_of_edge_cases(edge_docs, no_docs):
-    found = line_dedup.without_repeated_lines(edge_docs).collect()
+def test_passages_of_edge_cases(edge_docs, no_docs):
+    found = line_dedup.without_repeated_passages(edge_docs, least_weight=5).collect()
     assert len(found) == edge_docs.count()
     line = "one two three four five six seven eight nine ten"
     texts = {(r.doc_id, r.text) for r in found}
     assert {(4, line), (5, ""), (9, ""), (1, ""), (2, "")} <= texts and (None, "") in texts
-    assert [s.start for r in found if r.doc_id == 9 for s in r.removed] == [0, len(line) + 1, 2 * len(line) + 2]
-    assert line_dedup.without_repeated_lines(no_docs).collect() == []
-
-
-def test_lines_normalise_and_keep_short_ones(docs_of):
-    rows = [(1, "A  b c d e\nx y"), (2, "a b c\td E \nx y\nnew line of five words")]
-    found = {r.doc_id: r.text for r in line_dedup.without_repeated_lines(docs_of(rows)).collect()}
-    assert found == {1: rows[0][1], 2: "x y\nnew line of five words"}
+    assert [(s.start, s.stop, s.units) for r in found if r.doc_id == 9 for s in r.removed] == [(0, 3 * len(line) + 2, 3)]
+    assert line_dedup.without_repeated_passages(no_docs).collect() == []
+
+
+def test_only_long_runs_of_repeated_sentences_go(docs_of):
+    passage = "It was cold that day. Nobody had come,  and the house\nstood open to the wind! So we went in and looked around for a while."
+    short = "It was cold that day."
+    cjk = "\u5929\u6c14\u5f88\u597d" * 60 + "\u3002"
+    rows = [(1, f"Before. {passage} After."), (2, f"Other start here. {passage.upper()} Other end."), (3, f"Then. {short} And more."),
+            (4, cjk), (5, f"x {passage} y"), (6, "z\n" + cjk), (7, f"\u00a0{passage}")]
+    found = {r.doc_id: r.text for r in line_dedup.without_repeated_passages(docs_of(rows)).collect()}
+    assert found[1] == rows[0][1] and found[3] == rows[2][1] and found[4] == cjk
+    assert found[2] == "Other start here. Other end." and found[6] == "z\n"
+    assert found[5] == "x It was cold that day. y"  # its first sentence has another word
+    assert {i: "".join(c for c in t if c not in " ") for i, t in found.items()}[7].startswith("\u00a0It")
+
+
+def test_pieces_make_up_the_text():
+    rng = random.Random(4)
+    for _ in range(300):
+        text = "".join(rng.choice("ab .!?\n\t\u3002") for _ in range(rng.randrange(30)))
+        assert "".join(p.group() for p in line_dedup.pieces(text)) == text
+        assert all(a < b for _, a, b, _, _ in line_dedup.units_of(text))
 
 
 def plain_edits(item, text):
