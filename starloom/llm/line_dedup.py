@@ -22,15 +22,15 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.simhash import LOWER, WORD
+from starloom.llm.simhash import LOWER
 
 #: Sentence marks and blanks, fixed.
 MARKS, BLANKS = ".!?\u3002\uff01\uff1f", r" \t\n\x0b\f\r"
@@ -43,12 +43,12 @@ pieces = re.compile(PIECE).finditer
 
 def units_of(text: str) -> Iterator[tuple[int, int, int, int, bytes]]:
     """Number, start, end, weight and digest of every unit."""
-    for number, piece in enumerate(pieces(text)):
-        words = WORD.findall(piece.group().translate(LOWER))
+    for number, piece in enumerate(pieces(text.translate(LOWER))):
+        words = piece.group().encode("utf-8", "surrogatepass").split()  # bytes are split at ASCII blanks
         if words:
-            weight = max(len(words), sum(map(len, words)) // CHARS_A_WORD)
-            digest = hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
-            yield number, piece.start(), piece.end(), weight, digest
+            unit = b" ".join(words)
+            chars = (len(unit) if unit.isascii() else len(unit.decode("utf-8", "surrogatepass"))) - len(words) + 1
+            yield number, *piece.span(), max(len(words), chars // CHARS_A_WORD), xxhash.xxh3_128_digest(unit)
 
 
 def units(texts: DataFrame) -> DataFrame:
