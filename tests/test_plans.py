@@ -16,7 +16,7 @@ def plan_of(frame):
 
 LAZY = sorted(
     name for name in registry.QUERIES
-    if name not in {"tune", "scaling_test", "train_als", "train_als_implicit", "save_load_mllib",
+    if name not in {"tune", "tune_stacked", "scaling_test", "train_als", "train_als_implicit", "save_load_mllib",
                     "train_plain_als", "train_plain_als_rank10", "train_rmse_history", "train_plain_implicit", "train_implicit_history", "recommend_wide_ids", "recommend_trained"}
 )
 

@@ -1244,6 +1244,48 @@ def tune(spark, sf_dir):
     return found.select("rank", "reg", "max_iter", "chosen").withColumn("ratings", F.lit(train.count()).cast("bigint"))
 
 
+def _fold_step_sql(entity: str, other: str, fixed: str, keys: str) -> str:
+    """All entities of every model, a fold and a ridge term, from the ratings outside the fold."""
+    return f"""SELECT m.held, m.reg, "{entity}" AS id,
+        sum(rating * v.f0) / (sum(v.f0 * v.f0) + m.reg * count(*)) AS f0
+        FROM folded JOIN models m ON fold <> held JOIN {fixed} v ON v.id = "{other}" {keys} GROUP BY 1, 2, 3"""
+
+
+def _fold_rmse_sql(iteration: int) -> str:
+    return f"""SELECT u.reg, {iteration}::INT AS max_iter, u.held, sqrt(avg((u.f0 * v.f0 - rating) ** 2)) AS rmse
+        FROM folded JOIN users{iteration} u ON u.id = "userId" AND u.held = fold
+        JOIN items{iteration} v ON v.id = "movieId" AND v.held = fold AND v.reg = u.reg GROUP BY 1, 2, 3"""
+
+
+_SAME_MODEL = "AND v.held = m.held AND v.reg = m.reg"
+FOLDS = LAST | {
+    "folded": f"SELECT *, ({sql_bucket('fold', 42)} % 3)::INT AS fold FROM last_rating WHERE rating > 0",
+    "models": "SELECT held, reg FROM (SELECT unnest([0, 1, 2]) AS held), (SELECT unnest([0.01::DOUBLE, 1]) AS reg)",
+    "items0": _init_sql("movieId", "item"),
+    "users1": _fold_step_sql("userId", "movieId", "items0", ""),
+    "items1": _fold_step_sql("movieId", "userId", "users1", _SAME_MODEL),
+    "users2": _fold_step_sql("userId", "movieId", "items1", _SAME_MODEL),
+    "items2": _fold_step_sql("movieId", "userId", "users2", _SAME_MODEL),
+    "errors": f"""SELECT reg, max_iter, avg(rmse) AS mean_rmse FROM
+        ({_fold_rmse_sql(1)} UNION ALL {_fold_rmse_sql(2)}) GROUP BY 1, 2""",
+}
+
+
+@query(
+    "tune_stacked",
+    """SELECT 1::INT AS rank, reg, max_iter, round(mean_rmse, 6) AS mean_rmse,
+        mean_rmse = (SELECT min(mean_rmse) FROM errors) AS chosen FROM errors""",
+    "ratings",
+    FOLDS,
+)
+def tune_stacked(spark, sf_dir):
+    """Fold errors of the plain solver at rank 1, all folds and ridge terms advancing together."""
+    source = views.ratings(spark, sf_dir)
+    grid = {"rank": [1], "reg": [0.01, 1.0], "max_iter": [1, 2]}
+    found = evaluation.tune_stacked(source, source, grid, folds=3).grid
+    return found.withColumn("mean_rmse", r6("mean_rmse"))
+
+
 @query(
     "scaling_test",
     " UNION ALL ".join(
