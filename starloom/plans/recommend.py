@@ -4,12 +4,18 @@ The exact best n of many targets for every query vector needs every score, but n
 row. Queries are hashed into blocks and targets into shards of bounded size. A task receives one
 block and one shard, multiplies the two matrices and returns at most the n best (plus ties) per
 query. Only those rows leave the task.
+
+Products are pruned by length: a score is at most the product of both vectors' lengths. A task goes
+through its targets from the longest on, in buckets, and a query leaves as soon as its bound for the
+next bucket is below its n-th best score. With several shards the longest targets come first, as a
+table of their own, and a query that their scores settle is sent to no other shard.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions.vectors import as_double_vector
 from ..operators.ranking import top_n_per_user
 from ..schemas import Columns
+from ..session import cut_lineage
 from .model import FactorModel, require_model
 
 BLOCK_ROWS = 8192
@@ -28,16 +35,19 @@ SHARD_ROWS = 65536
 TILE_BYTES = 32 * 1024 * 1024
 PAIRS_PER_TASK = 4_000_000
 SCORES_AT_ONCE = 4_000_000
+BOUND_SLACK = 1e-9  # relative, far above the rounding of lengths and scores
+BUCKET_ROWS = 2048  # targets between two looks at the bound
 
 
 def _block_matcher(
-    n: int, keep_ties: bool, unit_length: bool
+    n: int, keep_ties: bool, unit_length: bool, count: bool = False
 ) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """The per-task step: best ``n`` targets of a shard for every query of a block.
 
     The matrix product only selects candidates. Its rounding depends on the block shape, so
     candidates are taken within a bound on that rounding, and their final scores are summed in
-    index order. The result is the same for any block and shard size.
+    index order. The result is the same for any block and shard size. With ``count`` the step gives
+    the number of products, possible and computed, instead.
     """
 
     def matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -45,14 +55,15 @@ def _block_matcher(
         flat = values.flatten().to_numpy(zero_copy_only=False)
         return flat.reshape(len(values), -1) if len(values) else flat.reshape(0, 0)
 
-    def vectors(table: pa.Table, id_column: str) -> tuple[np.ndarray, np.ndarray]:
-        """Ids in ascending order and their vectors, scaled to length one for cosine scores."""
+    def vectors(table: pa.Table, id_column: str, floor: str | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids in ascending order, their vectors, of length one for cosine scores, and their floors."""
         ids, rows = table[id_column].to_numpy(), matrix(table["features"])
+        floors = table[floor].to_numpy() if floor else np.zeros(len(ids))
         if unit_length and len(ids):
             length = np.sqrt((rows * rows).sum(axis=1))
-            ids, rows = ids[length > 0], rows[length > 0] / length[length > 0, None]
+            ids, rows, floors = ids[length > 0], rows[length > 0] / length[length > 0, None], floors[length > 0]
         order = np.argsort(ids)
-        return ids[order], rows[order]
+        return ids[order], rows[order], floors[order]
 
     def positions(ids: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index of each wanted id in the sorted ``ids``, and whether it is there."""
@@ -60,61 +71,89 @@ def _block_matcher(
         at = np.minimum(at, len(ids) - 1)
         return at, ids[at] == wanted
 
+    def by_length(u: np.ndarray, v: np.ndarray, reach: np.ndarray, row: np.ndarray, col: np.ndarray, floor: np.ndarray):
+        """Candidate pairs (place in u, place in v) and the number of products formed.
+
+        (row, col) are pairs to leave out, by row; ``floor`` is a score below which a query wants none.
+        """
+        u_length, v_length = np.linalg.norm(u, axis=1), np.linalg.norm(v, axis=1)
+        order = np.argsort(-v_length, kind="stable")
+        place = np.empty(len(v), np.int64)
+        place[order] = np.arange(len(v))
+        v, v_length, col = v[order], v_length[order], place[col]
+        most = min(n, len(v))
+        width = min(BUCKET_ROWS, len(v))
+        out_r, out_c, products = [np.empty(0, np.int64)], [np.empty(0, np.int64)], 0
+        step = max(1, SCORES_AT_ONCE // width)
+        for lo in range(0, len(u), step):
+            hi = min(lo + step, len(u))
+            slack = 2 * reach[lo:hi]
+            best, nth = np.full((hi - lo, most), -np.inf), floor[lo:hi].copy()
+            a, b = np.searchsorted(row, [lo, hi])
+            by_bucket = np.argsort(col[a:b] // width, kind="stable")
+            out_row, out_col = row[a:b][by_bucket] - lo, col[a:b][by_bucket]
+            active, found = np.arange(hi - lo), []
+            for begin in range(0, len(v), width):
+                active = active[u_length[lo + active] * v_length[begin] >= nth[active] - slack[active]]
+                if not len(active):
+                    break
+                part = v[begin : begin + width]
+                scores = u[lo + active] @ part.T
+                products += scores.size
+                c, d = np.searchsorted(out_col // width, [begin // width, begin // width + 1])
+                slot = np.full(hi - lo, -1)
+                slot[active] = np.arange(len(active))
+                left_out = slot[out_row[c:d]]
+                scores[left_out[left_out >= 0], out_col[c:d][left_out >= 0] - begin] = -np.inf
+                better = np.flatnonzero((scores >= (nth - slack)[active, None]).any(axis=1))
+                better, some = active[better], scores[better]
+                top = np.concatenate([best[better], some], axis=1)
+                best[better] = np.partition(top, top.shape[1] - most, axis=1)[:, -most:]
+                if most == n:
+                    nth[better] = np.maximum(nth[better], best[better].min(axis=1))
+                r, c = np.nonzero((some >= (nth - slack)[better, None]) & (some > -np.inf))
+                found.append((better[r], begin + c, some[r, c]))
+            for r, c, score in found:
+                keep = score >= (nth - slack)[r]
+                out_r.append(lo + r[keep])
+                out_c.append(order[c[keep]])
+        return np.concatenate(out_r), np.concatenate(out_c), products
+
     def match(left: pa.Table, right: pa.Table) -> pa.Table:
         queries = left.filter(pc.is_valid(left["features"]))
         excluded = left.filter(pc.is_valid(left["excluded"]))
-        u_ids, u = vectors(queries, "left_id")
-        v_ids, v = vectors(right, "right_id")
-        out_l, out_r, out_s = [u_ids[:0]], [v_ids[:0]], [np.empty(0)]
-        if len(u_ids) and len(v_ids):
-            rank = u.shape[1]
-            slack = 4 * (rank + 2) * np.finfo(float).eps
-            reach = slack * np.linalg.norm(u, axis=1) * np.linalg.norm(v, axis=1).max()
-
-            lists = excluded["excluded"].combine_chunks()
-            owners = np.repeat(excluded["left_id"].to_numpy(), pc.list_value_length(lists))
-            row, row_known = positions(u_ids, owners)
-            col, col_known = positions(v_ids, lists.flatten().to_numpy())
-            known = row_known & col_known
-            row, col = row[known], col[known]
-            by_row = np.argsort(row, kind="stable")
-            row, col = row[by_row], col[by_row]
-
-            step = max(1, SCORES_AT_ONCE // len(v_ids))
-            for lo in range(0, len(u_ids), step):
-                hi = min(lo + step, len(u_ids))
-                scores = u[lo:hi] @ v.T
-                a, b = np.searchsorted(row, [lo, hi])
-                scores[row[a:b] - lo, col[a:b]] = -np.inf
-                if n < len(v_ids):
-                    nth = np.partition(scores, len(v_ids) - n, axis=1)[:, len(v_ids) - n]
-                    wide = scores >= (nth - 2 * reach[lo:hi])[:, None]
-                    wide &= scores > -np.inf
-                else:
-                    wide = scores > -np.inf
-                r, c = np.nonzero(wide)
-                r = r + lo
-                exact = np.zeros(len(r))
-                for k in range(rank):
-                    exact += u[r, k] * v[c, k]
-                order = np.lexsort((c, -exact, r))
-                r, c, exact = r[order], c[order], exact[order]
-                first = np.searchsorted(r, r)  # start of each query's candidates
-                if keep_ties:
-                    last = np.minimum(first + n, np.searchsorted(r, r, side="right")) - 1
-                    best = exact >= exact[last]
-                else:
-                    best = np.arange(len(r)) - first < n
-                out_l.append(u_ids[r[best]])
-                out_r.append(v_ids[c[best]])
-                out_s.append(exact[best])
-        return pa.table(
-            {
-                "left_id": np.concatenate(out_l),
-                "right_id": np.concatenate(out_r),
-                "score": np.concatenate(out_s),
-            }
-        )
+        u_ids, u, floor = vectors(queries, "left_id", "floor")
+        v_ids, v, _ = vectors(right, "right_id")
+        if not len(u_ids) or not len(v_ids):
+            if count:
+                return pa.table({"possible": [0], "computed": [0]})
+            return pa.table({"left_id": u_ids[:0], "right_id": v_ids[:0], "score": np.empty(0)})
+        rank = u.shape[1]
+        slack = 4 * (rank + 2) * np.finfo(float).eps
+        reach = slack * np.linalg.norm(u, axis=1) * np.linalg.norm(v, axis=1).max()
+
+        lists = excluded["excluded"].combine_chunks()
+        owners = np.repeat(excluded["left_id"].to_numpy(), pc.list_value_length(lists))
+        row, row_known = positions(u_ids, owners)
+        col, col_known = positions(v_ids, lists.flatten().to_numpy())
+        known = row_known & col_known
+        row, col = row[known], col[known]
+        by_row = np.argsort(row, kind="stable")
+        r, c, products = by_length(u, v, reach, row[by_row], col[by_row], floor)
+        if count:
+            return pa.table({"possible": [len(u) * len(v)], "computed": [products]})
+        exact = np.zeros(len(r))
+        for k in range(rank):
+            exact += u[r, k] * v[c, k]
+        order = np.lexsort((c, -exact, r))
+        r, c, exact = r[order], c[order], exact[order]
+        first = np.searchsorted(r, r)  # start of each query's candidates
+        if keep_ties:
+            last = np.minimum(first + n, np.searchsorted(r, r, side="right")) - 1
+            best = exact >= exact[last]
+        else:
+            best = np.arange(len(r)) - first < n
+        return pa.table({"left_id": u_ids[r[best]], "right_id": v_ids[c[best]], "score": exact[best]})
 
     return match
 
@@ -148,78 +187,133 @@ def top_matches(
     """
     if ties not in ("row", "rank"):
         raise ValueError("ties must be 'row' or 'rank'")
-    spark = queries.sparkSession
     n_queries = max(1, queries.count() if query_count is None else query_count)
     n_targets = max(1, targets.count() if target_count is None else target_count)
-    cores = spark.sparkContext.defaultParallelism
-    shards = math.ceil(n_targets / shard_rows)
-    wanted = math.ceil(4 * cores / shards)  # blocks that keep every core busy
-    blocks = max(math.ceil(n_queries / block_rows), min(wanted, math.ceil(n_queries / 64)))
-    if exclude is not None:  # keep the excluded pairs of one block and shard in bounds as well
+    n_pairs = 0
+    if exclude is not None:
         n_pairs = exclude.count() if exclude_count is None else exclude_count
-        blocks = max(blocks, min(n_queries, math.ceil(n_pairs / (shards * PAIRS_PER_TASK))))
-    left_type = queries.schema["id"].dataType
-    right_type = targets.schema["id"].dataType
-
-    def block_of(c: Column) -> Column:
-        return F.pmod(F.xxhash64(c.cast("bigint")), F.lit(blocks)).cast("int")
-
-    def shard_of(c: Column) -> Column:
-        return F.pmod(F.xxhash64(c.cast("bigint")), F.lit(shards)).cast("int")
-
-    def every(count: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-
-    vector = as_double_vector(F.col("features"))
-    left = queries.select(
-        block_of(F.col("id")).alias("block"),
-        F.col("id").alias("left_id"),
-        vector.alias("features"),
-        F.lit(None).cast(T.ArrayType(right_type)).alias("excluded"),
-        every(shards).alias("shard"),
+    tiles = _Tiles(n, ties, cosine, block_rows, shard_rows, exclude, n_pairs)
+    queries = queries.select("id", as_double_vector(F.col("features")).alias("features"), F.lit(-math.inf).alias("floor"))
+    targets = targets.select("id", as_double_vector(F.col("features")).alias("features"))
+    named = Columns("left_id", "right_id", prediction="score")
+    if n_targets <= shard_rows:
+        return tiles.best(queries, targets, n_queries, n_targets)
+    if cosine:  # all lengths are one
+        return top_n_per_user(tiles.best(queries, targets, n_queries, n_targets), n, ties, named)
+
+    cut = targets.agg(F.approx_percentile(_length("features"), 1 - shard_rows / n_targets)).first()[0]
+    long = targets.where(_length("features") >= F.lit(cut))
+    first = tiles.best(queries, long, n_queries, max(1, long.count()))
+    first = cut_lineage(top_n_per_user(first, n, ties, named).select("left_id", "right_id", "score"))
+    settled = first.groupBy("left_id").agg(F.count("*").alias("_n"), F.min("score").alias("_nth"))
+    settled = settled.where(F.col("_n") >= n).select(F.col("left_id").alias("id"), "_nth")
+    bound = _length("features") * F.lit(cut)
+    open_ = (
+        queries.join(settled, "id", "left")
+        .where(F.col("_nth").isNull() | (bound * F.lit(1 + BOUND_SLACK) >= F.col("_nth")))
+        .select("id", "features", F.coalesce("_nth", "floor").alias("floor"))
     )
-    if exclude is not None:
-        seen = (
-            exclude.select("left_id", F.col("right_id").cast(right_type).alias("right_id"))
-            .dropna()
-            .groupBy("left_id", shard_of(F.col("right_id")).alias("shard"))
-            .agg(F.collect_set("right_id").alias("excluded"))  # at most one shard of ids
+    rest = targets.where(_length("features") < F.lit(cut))
+    more = tiles.best(open_, rest, n_queries, n_targets)
+    return top_n_per_user(first.unionByName(more), n, ties, named)
+
+
+def matching_work(queries: DataFrame, targets: DataFrame, n: int, *, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """One row (possible, computed): products of a search in one shard, and those that pruning leaves."""
+    n_queries, n_targets = max(1, queries.count()), max(1, targets.count())
+    tiles = _Tiles(n, "row", False, block_rows, n_targets, None, 0)
+    queries = queries.select("id", as_double_vector(F.col("features")).alias("features"), F.lit(-math.inf).alias("floor"))
+    targets = targets.select("id", as_double_vector(F.col("features")).alias("features"))
+    work = tiles.best(queries, targets, n_queries, n_targets, count=True)
+    return work.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("possible", "computed")))
+
+
+def _length(column: str) -> Column:
+    return F.sqrt(F.aggregate(column, F.lit(0.0), lambda total, x: total + x * x))
+
+
+@dataclass(frozen=True)
+class _Tiles:
+    """Matching in blocks of queries and shards of targets, one task or less for each pair of them."""
+
+    n: int
+    ties: str
+    cosine: bool
+    block_rows: int
+    shard_rows: int
+    exclude: DataFrame | None
+    n_pairs: int
+
+    def best(self, queries: DataFrame, targets: DataFrame, n_queries: int, n_targets: int, count: bool = False) -> DataFrame:
+        """(left_id, right_id, score): the best of every shard; queries are (id, features, floor)."""
+        spark = queries.sparkSession
+        cores = spark.sparkContext.defaultParallelism
+        shards = math.ceil(n_targets / self.shard_rows)
+        wanted = math.ceil(4 * cores / shards)  # blocks that keep every core busy
+        blocks = max(math.ceil(n_queries / self.block_rows), min(wanted, math.ceil(n_queries / 64)))
+        if self.exclude is not None:  # keep the excluded pairs of one block and shard in bounds as well
+            blocks = max(blocks, min(n_queries, math.ceil(self.n_pairs / (shards * PAIRS_PER_TASK))))
+        left_type = queries.schema["id"].dataType
+        right_type = targets.schema["id"].dataType
+
+        def block_of(c: Column) -> Column:
+            return F.pmod(F.xxhash64(c.cast("bigint")), F.lit(blocks)).cast("int")
+
+        def shard_of(c: Column) -> Column:
+            return F.pmod(F.xxhash64(c.cast("bigint")), F.lit(shards)).cast("int")
+
+        def every(number: int) -> Column:
+            return F.explode(F.sequence(F.lit(0), F.lit(number - 1)))
+
+        left = queries.select(
+            block_of(F.col("id")).alias("block"),
+            F.col("id").alias("left_id"),
+            "features",
+            "floor",
+            F.lit(None).cast(T.ArrayType(right_type)).alias("excluded"),
+            every(shards).alias("shard"),
         )
-        left = left.unionByName(
-            seen.select(
-                block_of(F.col("left_id")).alias("block"),
-                F.col("left_id").cast(left_type),
-                F.lit(None).cast("array<double>").alias("features"),
-                "excluded",
-                "shard",
+        if self.exclude is not None:
+            seen = (
+                self.exclude.select("left_id", F.col("right_id").cast(right_type).alias("right_id"))
+                .dropna()
+                .groupBy("left_id", shard_of(F.col("right_id")).alias("shard"))
+                .agg(F.collect_set("right_id").alias("excluded"))  # at most one shard of ids
+            )
+            left = left.unionByName(
+                seen.select(
+                    block_of(F.col("left_id")).alias("block"),
+                    F.col("left_id").cast(left_type),
+                    F.lit(None).cast("array<double>").alias("features"),
+                    F.lit(None).cast("double").alias("floor"),
+                    "excluded",
+                    "shard",
+                )
             )
+        right = targets.select(
+            shard_of(F.col("id")).alias("shard"),
+            F.col("id").alias("right_id"),
+            "features",
+            every(blocks).alias("block"),
+        )
+        # One partition per (block, shard) pair up to a bound: the work is in the product, which the
+        # size-based coalescing of shuffles cannot see.
+        width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        partitions = min(blocks * shards, 8 * max(width, cores))
+        schema = T.StructType(
+            [
+                T.StructField("left_id", left_type),
+                T.StructField("right_id", right_type),
+                T.StructField("score", T.DoubleType()),
+            ]
+        )
+        work = _block_matcher(self.n, self.ties == "rank", self.cosine, count)
+        return (
+            left.repartition(partitions, "block", "shard")
+            .groupBy("block", "shard")
+            .cogroup(right.repartition(partitions, "block", "shard").groupBy("block", "shard"))
+            .applyInArrow(work, "possible long, computed long" if count else schema)
         )
-    right = targets.select(
-        shard_of(F.col("id")).alias("shard"),
-        F.col("id").alias("right_id"),
-        vector.alias("features"),
-        every(blocks).alias("block"),
-    )
-    # One partition per (block, shard) pair up to a bound: the work is in the product, which the
-    # size-based coalescing of shuffles cannot see.
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = min(blocks * shards, 8 * max(width, cores))
-    schema = T.StructType(
-        [
-            T.StructField("left_id", left_type),
-            T.StructField("right_id", right_type),
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
-    best = (
-        left.repartition(partitions, "block", "shard")
-        .groupBy("block", "shard")
-        .cogroup(right.repartition(partitions, "block", "shard").groupBy("block", "shard"))
-        .applyInArrow(_block_matcher(n, ties == "rank", cosine), schema)
-    )
-    if shards == 1:
-        return best
-    return top_n_per_user(best, n, ties, Columns("left_id", "right_id", prediction="score"))
 
 
 def _named(matches: DataFrame, left: str, right: str, score: str) -> DataFrame:

@@ -148,3 +148,44 @@ def test_other_column_names(spark):
     cols = Columns("u", "i", "r", "t", "score")
     model = FactorModel(factor_table(spark, [1], [[2.0]]), factor_table(spark, [7], [[3.0]]), 1, cols)
     assert recommend.recommend_all_users(model, 1).columns == ["u", "i", "score"]
+
+
+def clustered(spark, n, rank, seed, base):
+    """Vectors of very different lengths, some of them equal and some zero."""
+    rng = np.random.default_rng(seed)
+    rows = rng.normal(size=(n, rank)) * rng.lognormal(0, 1.5, size=(n, 1))
+    rows[: n // 20] = rows[0]
+    rows[n // 20 : n // 15] = 0.0
+    table = [(base + i, [float(x) for x in row]) for i, row in enumerate(rows)]
+    return spark.createDataFrame(table, "id INT, features ARRAY<DOUBLE>"), rows
+
+
+@pytest.mark.parametrize("ties", ["row", "rank"])
+@pytest.mark.parametrize("shard_rows", [100_000, 150])
+def test_pruning_by_length_changes_no_row(spark, monkeypatch, ties, shard_rows):
+    monkeypatch.setattr(recommend, "BUCKET_ROWS", 32)
+    queries, u = clustered(spark, 90, 4, 1, 0)
+    targets, v = clustered(spark, 700, 4, 2, 1000)
+    seen = [(i, 1000 + j) for i in range(90) for j in range(i % 3, 700, 5)]
+    exclude = spark.createDataFrame(seen, "left_id INT, right_id INT")
+    found = recommend.top_matches(queries, targets, 7, exclude=exclude, ties=ties, shard_rows=shard_rows)
+    found = {(r["left_id"], r["right_id"]): r["score"] for r in found.collect()}
+    scores = np.zeros((90, 700))
+    for k in range(4):
+        scores += u[:, [k]] * v[:, k]
+    left_out = set(seen)
+    wanted = {}
+    for i in range(90):
+        order = [j for j in np.lexsort((np.arange(700), -scores[i])) if (i, 1000 + j) not in left_out]
+        last = scores[i, order[6]]
+        best = order[:7] if ties == "row" else [j for j in order if scores[i, j] >= last]
+        wanted |= {(i, 1000 + j): scores[i, j] for j in best}
+    assert found == wanted
+
+
+def test_pruning_saves_products(spark):
+    queries, _ = clustered(spark, 500, 4, 1, 0)
+    targets, _ = clustered(spark, 20_000, 4, 2, 1000)
+    work = recommend.matching_work(queries, targets, 5).first()
+    assert work["possible"] == 500 * 20_000 and work["computed"] < 0.6 * work["possible"]
+    assert recommend.matching_work(queries.limit(0), targets, 5).first()["possible"] == 0
