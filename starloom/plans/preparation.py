@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from functools import partial
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.cleaning import clean_movies, clean_ratings, clean_users
@@ -14,6 +17,20 @@ from ..sources.raw import DATASET_SIZES, dataset_folder, read_dataset
 from ..sources.sinks import write_csv, write_id_mappings, write_parquet, write_training_triples
 
 
+WRITERS = 4  # jobs submitted together
+
+
+def together(spark: SparkSession, jobs: Sequence[Callable[[], None]]) -> None:
+    """Run independent jobs; the first failure is raised after all have ended."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPool(WRITERS) as pool:
+        running = [pool.apply_async(inherit(job)) for job in jobs]
+        for result in running:
+            result.wait()
+        for result in running:
+            result.get()
+
+
 def preprocess(
     spark: SparkSession,
     root: str,
@@ -30,6 +47,8 @@ def preprocess(
     genres come as flags.
 
     The raw text is parsed once, into Parquet. The split and every other output read that Parquet.
+    Outputs that don't depend on each other are jobs submitted together, so that the tail of one
+    leaves no executor idle.
     """
     base = f"{out.rstrip('/')}/{size}"
     tables = f"{base}/tables"
@@ -40,26 +59,30 @@ def preprocess(
         "movies": clean_movies(movies, names),
         "users": clean_users(users),
     }
-    stored = {}
-    for name, table in cleaned.items():
+    stored: dict[str, DataFrame] = {}
+
+    def store(name: str, table: DataFrame) -> None:
         write_parquet(table, f"{tables}/{name}.parquet")
         stored[name] = spark.read.parquet(f"{tables}/{name}.parquet")
-        if name == "ratings":
-            rows_read = read.get["rows_read"]
-        write_csv(stored[name], f"{base}/interim/cleaned_{name}.csv")
 
+    together(spark, [partial(store, name, table) for name, table in cleaned.items()])
+    rows_read = read.get["rows_read"]
     train, test = split_exact(stored["ratings"], test_size, seed)
-    for name, part in {"train_ratings": train, "test_ratings": test}.items():
-        write_parquet(part, f"{tables}/{name}.parquet")
-        stored[name] = spark.read.parquet(f"{tables}/{name}.parquet")
-        write_csv(stored[name], f"{base}/interim/{name}.csv")
-
-    for name in ("ratings", "train_ratings", "test_ratings"):
-        write_training_triples(stored[name], f"{base}/triples/{name}.parquet")
-    write_id_mappings(stored["movies"], stored["users"], f"{base}/mappings")
-    processed = {"train": "train_ratings", "test": "test_ratings", "movies": "movies", "users": "users"}
-    for name, source in processed.items():
-        write_csv(stored[source], f"{base}/processed/{name}.csv")
+    together(spark, [partial(store, name, part) for name, part in {"train_ratings": train, "test_ratings": test}.items()])
+
+    copies = {f"interim/cleaned_{name}": name for name in cleaned}
+    copies |= {f"interim/{name}": name for name in ("train_ratings", "test_ratings")}
+    copies |= {"processed/train": "train_ratings", "processed/test": "test_ratings"}
+    copies |= {"processed/movies": "movies", "processed/users": "users"}
+    together(
+        spark,
+        [partial(write_csv, stored[source], f"{base}/{path}.csv") for path, source in copies.items()]
+        + [
+            partial(write_training_triples, stored[name], f"{base}/triples/{name}.parquet")
+            for name in ("ratings", "train_ratings", "test_ratings")
+        ]
+        + [partial(write_id_mappings, stored["movies"], stored["users"], f"{base}/mappings")]
+    )
     report = split_report(
         stored["train_ratings"], stored["test_ratings"], stored["users"], stored["movies"]
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from starloom.operators import (
     cleaning, ids, joins, layout, quality, ranking, reports, splits, stats,
 )
-from starloom.operators.skew import skew_join
+from starloom.operators.skew import hot_keys, skew_join
 from starloom.plans import evaluate as evaluation
 from starloom.plans import model as models
 from starloom.plans import plain_als, preparation, recommend, runs
@@ -707,7 +707,8 @@ FLAT_SQL = "SELECT id, round(f0, 6) + 0.0 AS f0, round(f1, 6) + 0.0 AS f1 FROM"
 def gram(spark, sf_dir):
     source = views.ratings(spark, sf_dir)
     factors = views.item_factors(source).withColumnRenamed("id", "movieId")
-    sums = stats.gram(skew_join(source, factors, "movieId"), "userId", 2)
+    hot = hot_keys(source, "movieId")["movieId"]
+    sums = stats.gram(skew_join(source, factors, "movieId", hot=hot), "userId", 2)
     return sums.select("userId", "n", *[r6(c) for c in ("a_0_0", "a_0_1", "a_1_1", "b_0", "b_1")])
 
 
