@@ -9,8 +9,10 @@
    band around these diagonals gives the matched words, and their share of the template is its
    coverage; rows at or above the least coverage are reported with their span.
 
-Templates are a bounded constant of the library and go to the workers with the code. The pass is
-narrow: no shuffle, no state between documents.
+Templates are the constant TEMPLATES, other texts by name, or a table (license, text) of at most
+TEMPLATE_BYTES; they go to the workers with the code. The pass is narrow: no shuffle, no state between
+documents. Licenses that share most of their words (GPL versions, BSD forms, CC notices) each give a
+row; the coverage tells them apart.
 
 Null and empty texts match nothing; null ids stay null; repeated rows each give rows; an empty
 table gives an empty result; other columns are ignored. Of overlapping reports of one template the
@@ -31,6 +33,9 @@ K = 3
 WINDOW = 2
 LEAST_COVERAGE = 0.8
 
+#: Characters of a table of templates, at most.
+TEMPLATE_BYTES = 8_000_000
+
 WORD = re.compile(r"[^\W_]+")
 LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -53,11 +58,56 @@ TEMPLATES = {
     "gpl-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU"
     " General Public License as published by the Free Software Foundation, either version 3 of the License, or (at"
     " your option) any later version.",
+    "gpl-2.0": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU"
+    " General Public License as published by the Free Software Foundation; either version 2 of the License, or (at"
+    " your option) any later version.",
+    "lgpl-2.1": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU"
+    " Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License,"
+    " or (at your option) any later version.",
+    "lgpl-3.0": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU"
+    " Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or"
+    " (at your option) any later version.",
+    "agpl-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU"
+    " Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or"
+    " (at your option) any later version.",
+    "gnu-warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without"
+    " even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public"
+    " License for more details.",
+    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the"
+    " MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     "bsd-2-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted"
     " provided that the following conditions are met: Redistributions of source code must retain the above copyright"
     " notice, this list of conditions and the following disclaimer.",
+    "bsd-3-clause-full": "Redistribution and use in source and binary forms, with or without modification, are permitted"
+    " provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright"
+    " notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce"
+    " the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or"
+    " other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its"
+    " contributors may be used to endorse or promote products derived from this software without specific prior"
+    " written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS"
+    " OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR"
+    " A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY"
+    " DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO,"
+    " PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER"
+    " CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR"
+    " OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is"
+    " hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "mit-warranty": 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT'
+    " NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO"
+    " EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN"
+    " ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR"
+    " OTHER DEALINGS IN THE SOFTWARE.",
+    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy,"
+    " modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled"
+    " binary, for any purpose, commercial or non-commercial, and by any means.",
+    "cc0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights"
+    " to this work.",
     "cc-by-nc-4.0-notice": "Licensed under CC BY-NC 4.0.",
     "cc-by-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "cc-by-sa-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International"
+    " License.",
+    "cc-by-nc-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
 }
 
 
@@ -79,32 +129,34 @@ def winnowed(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
 def align(template: list[int], text: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
     """(matched words, start, stop) of the best local alignment on diagonals low to high.
 
-    Equal words count 2, other pairs and skipped words -1.
+    Equal words count 2, other pairs and skipped words -1. A row of the band is one array of cells; a
+    cell is a number that orders by score, then matched words, then the earlier start.
     """
-    nothing = (0, 0, 0)  # score, matched words, -start
-    best, best_stop = nothing, 0
-    row = [nothing] * (high - low + 1)
-    for i, word in enumerate(template):
-        new = []
-        for lane, here in enumerate(row):
-            j = i + low + lane
-            equal = 0 <= j < len(text) and text[j] == word
-            if here[0] == 0:
-                here = (0, 0, -j)
-            cell = (here[0] + 2, here[1] + 1, here[2]) if equal else (here[0] - 1, here[1], here[2])
-            if lane + 1 < len(row):
-                above = row[lane + 1]
-                cell = max(cell, (above[0] - 1, above[1], above[2]))
-            if lane:
-                left = new[lane - 1]
-                cell = max(cell, (left[0] - 1, left[1], left[2]))
-            if cell[0] <= 0:
-                cell = nothing
-            elif cell > best:
-                best, best_stop = cell, j + 1
-            new.append(cell)
-        row = new
-    return best[1], -best[2], best_stop
+    text = np.asarray(text, np.int64)
+    lanes = np.arange(high - low + 1, dtype=np.int64)
+    start_bits = (len(template) + len(lanes)).bit_length()
+    matched_bits = len(template).bit_length()
+    point, word = np.int64(1) << (start_bits + matched_bits), np.int64(1) << start_bits
+    latest = word - 1
+    padded = np.full(len(template) + len(lanes), -2)  # text[low], text[low + 1], ...; -2 is no word at all
+    first, last = max(low, 0), min(low + len(padded), len(text))
+    if first < last:
+        padded[first - low : last - low] = text[first:last]
+    slope = lanes * point
+    best, best_stop = np.int64(0), 0
+    row = np.zeros(len(lanes), np.int64)
+    for i, wanted in enumerate(template):
+        cells = np.where(row == 0, latest - i - lanes, row)  # an alignment that begins here
+        cells += np.where(padded[i : i + len(lanes)] == wanted, 2 * point + word, -point)
+        np.maximum(cells[:-1], row[1:] - point, out=cells[:-1])
+        row = np.maximum.accumulate(cells + slope) - slope
+        row[row < point] = 0
+        lane = int(row.argmax())
+        if row[lane] > best:
+            best, best_stop = row[lane], i + low + lane + 1
+    if not best:
+        return 0, 0, 0
+    return int(best >> start_bits & (1 << matched_bits) - 1), low + int(latest - (best & latest)), best_stop
 
 
 class Index:
@@ -180,7 +232,8 @@ def lowered(text: str) -> str:
 def stretches(diagonals: list[int], band: int) -> list[tuple[int, int]]:
     """Runs of sorted diagonals whose neighbours are at most band apart, each at most 4 bands wide.
 
-    Wider runs are cut into overlapping ones, so an alignment's cost doesn't grow with the text.
+    Wider runs are cut; each part is aligned with a band more on either side, which holds every alignment
+    that drifts by a band or less, and its cost doesn't grow with the text.
     """
     runs = [[diagonals[0], diagonals[0]]]
     for d in diagonals[1:]:
@@ -191,10 +244,23 @@ def stretches(diagonals: list[int], band: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in runs]
 
 
+def listed_templates(templates: DataFrame) -> dict[str, str]:
+    """The texts of a table (license, text) by name, which must be unique; null and empty texts are left out."""
+    rows = templates.select("license", F.col("text").cast("string").alias("text")).filter("license IS NOT NULL AND text <> ''")
+    size, n, names = rows.agg(F.sum(F.length("text")), F.count("*"), F.count_distinct("license")).first()
+    if (size or 0) > TEMPLATE_BYTES:
+        raise ValueError(f"templates of {size} characters; at most {TEMPLATE_BYTES} go to the workers")
+    if n != names:
+        raise ValueError("a license name stands twice in the table of templates")
+    return dict(rows.sort("license").collect())
+
+
 def find_licenses(
-    docs: DataFrame, templates: dict[str, str] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, templates: dict[str, str] | DataFrame = TEMPLATES, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """doc_id, license, start, stop (code points), matched words and coverage."""
+    if isinstance(templates, DataFrame):
+        templates = listed_templates(templates)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     names = ["doc_id", "license", "start", "stop", "matched", "coverage"]
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
