@@ -13,7 +13,8 @@ the item, all on diagonals (place in the text less place in the item) that diffe
 
 Letters compare without case and any white space as a blank; offsets are code points of the
 original text. Items are the query set: they go to the workers in blocks of BLOCK characters, one
-narrow pass over the documents per block, so an index never outgrows a worker. Texts are looked
+narrow pass over the documents per block, so an index never outgrows a worker; the driver holds one
+block at a time, as each pass of several is stored before the next block is fetched. Texts are looked
 at in slices of SLICE characters that overlap by more than a match, so every place of every text
 counts. There is no shuffle.
 
@@ -24,6 +25,7 @@ either side gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -32,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.frames import free_name, map_rows
+from starloom.session import cut_lineage
 
 Q = 8
 BUDGET = 0.1
@@ -209,14 +212,21 @@ class Items:
         return sorted(rows)
 
 
-def blocks(items: DataFrame, id_col: str, text_col: str, block: int = BLOCK) -> list[list[tuple[int, str]]]:
-    """The query set in blocks of about block characters."""
+def blocks(
+    items: DataFrame, id_col: str, text_col: str, block: int = BLOCK
+) -> tuple[int, Iterator[list[tuple[int, str]]]]:
+    """The number of blocks of about block characters, and the blocks, each fetched when it is its turn."""
     rows = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.filter("text <> ''")
     size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-size // block))
     bucket = F.pmod(F.xxhash64("id", "text"), F.lit(n))
-    return [[tuple(r) for r in rows.filter(bucket == i).sort("id", "text").collect()] for i in range(n)]
+    return n, ([tuple(r) for r in rows.filter(bucket == i).sort("id", "text").collect()] for i in range(n))
+
+
+def one_at_a_time(found: DataFrame, n: int) -> DataFrame:
+    """The result of a block's pass; of several blocks each is let go before the next is fetched."""
+    return found if n == 1 else cut_lineage(found)
 
 
 def contaminated(
@@ -248,7 +258,8 @@ def contaminated(
 
         return source.mapInArrow(run, schema)
 
-    return reduce(DataFrame.union, map(searched, blocks(items, item_id_col, item_text_col, block)))
+    n, parts = blocks(items, item_id_col, item_text_col, block)
+    return reduce(DataFrame.union, (one_at_a_time(searched(some), n) for some in parts))
 
 
 def clean(
@@ -269,4 +280,7 @@ def clean(
 
         return map_rows(rows, text_col, make, f"{flag} boolean").filter(~F.col(flag)).drop(flag)
 
-    return reduce(without, blocks(items, item_id_col, item_text_col, block), docs)
+    n, parts = blocks(items, item_id_col, item_text_col, block)
+    for some in parts:
+        docs = one_at_a_time(without(docs, some), n)
+    return docs
