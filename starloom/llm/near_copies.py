@@ -7,8 +7,12 @@
 3. Candidates whose sketches agree often enough are confirmed on their texts: exactly, by counting
    common shingles. Components of the confirmed links are found as in simhash.
 4. In bands that still hold more than one component, the sets outside the band's largest component
-   are paired with all sets of other components there and confirmed in the same way. After that
-   every two candidates are linked, in one component, or known not to be similar enough.
+   are paired with all sets of other components there and confirmed in the same way. Where more
+   than FEW sets stand outside, as with texts around a common passage, their pairs would grow with
+   the square of the band: all sets of such bands are paired by prefixes instead. Shingles in order
+   of rarity, two sets of similarity 0.8 share one of the first fifth (plus one) of each, so a
+   passage that many texts share makes no pair unless it is four fifths of them. After that every
+   two candidates are linked, in one component, or known not to be similar enough.
 
 Two sets of similarity 0.8 share no band with a chance of about 1e-7 (two of 0.9: below 1e-15). A
 Hamming budget that covers 0.8 has no such bound short of about 23 of 64 bits, where a trie prunes
@@ -22,6 +26,7 @@ an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import struct
 from contextlib import contextmanager
 
 import numpy as np
@@ -42,6 +47,8 @@ BANDS, ROWS = 40, 5
 #: Bits of the sketch, and how many must agree: 6.4 standard deviations below the mean at 0.8.
 SKETCH, LEAST_AGREEING = 192, 146
 SEED = 42
+#: Sets outside a band's largest component that are paired within the band; for the plan only.
+FEW = 4
 #: Bytes of a row of ids in a hash table, at most.
 ROW_BYTES = 64
 #: Rows of an Arrow batch; a row may hold two texts.
@@ -64,24 +71,28 @@ def minima(hashes: np.ndarray) -> np.ndarray:
     return least
 
 
-def signature(text: str) -> tuple[int, np.ndarray, np.ndarray]:
-    """Key of the set of shingles, band keys (none for the empty set) and sketch, as signed numbers."""
-    parts = shingles(text)
-    hashes = np.sort(np.array([xxhash.xxh64_intdigest(p, SEED) for p in parts], np.uint64))
-    key = int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
-    if not parts:
-        return key, np.empty(0, np.int64), np.zeros(SKETCH // 64, np.int64)
+def hashed(text: str) -> np.ndarray:
+    """Hashes of a text's shingles."""
+    return np.array([xxhash.xxh64_intdigest(p, SEED) for p in shingles(text)], np.uint64)
+
+
+def signature(text: str) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """Both halves of the set's key, band keys (none for the empty set) and sketch, as signed numbers."""
+    hashes = np.sort(hashed(text))
+    key = struct.unpack("<qq", hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
+    if not len(hashes):
+        return *key, np.empty(0, np.int64), np.zeros(SKETCH // 64, np.int64)
     least = minima(hashes)
     bands = np.array(
         [xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(least.reshape(BANDS, ROWS))], np.uint64
     )
     bits = (least[:SKETCH] >> np.uint64(30) ^ least[:SKETCH] >> np.uint64(17)) & np.uint64(1)
-    return key, bands.view(np.int64), np.packbits(bits.astype(np.uint8)).view("<i8")
+    return *key, bands.view(np.int64), np.packbits(bits.astype(np.uint8)).view("<i8")
 
 
 def signatures(texts: DataFrame) -> DataFrame:
-    """doc_id, text_key, set_key, bands and sketch of texts (doc_id, text_key, text)."""
-    names = ["doc_id", "text_key", "set_key", "bands", "sketch"]
+    """doc_id, text_key, set_key, set_check, bands and sketch of texts (doc_id, text_key, text)."""
+    names = ["doc_id", "text_key", "set_key", "set_check", "bands", "sketch"]
     kind = pa.list_(pa.int64())
 
     def run(batches):
@@ -90,15 +101,26 @@ def signatures(texts: DataFrame) -> DataFrame:
                 part = batch.slice(begin, 256)
                 found = [signature(text.as_py()) for text in part.column(2)]
                 columns = [
-                    pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], kind),
-                    pa.array([f[2] for f in found], kind),
+                    pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()),
+                    pa.array([f[2] for f in found], kind), pa.array([f[3] for f in found], kind),
                 ]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], names)
 
-    schema = "doc_id long, text_key long, set_key long, bands array<long>, sketch array<long>"
+    schema = "doc_id long, text_key long, set_key long, set_check long, bands array<long>, sketch array<long>"
     return texts.select("doc_id", "text_key", "text").mapInArrow(run, schema)
 
 
+def apart(signed: DataFrame) -> DataFrame:
+    """signed with equal set_keys only where all 128 bits of set_key and set_check are equal."""
+    checks = signed.groupBy("set_key").agg(F.min("set_check").alias("low"), F.max("set_check").alias("high"))
+    clashing = cut_lineage(checks.filter("low <> high").select(F.col("set_key").alias("clashing")))
+    if clashing.isEmpty():
+        return signed
+    key = F.when(F.col("clashing").isNull(), F.col("set_key")).otherwise(F.xxhash64("set_key", "set_check"))
+    joined = signed.join(small(clashing), F.col("set_key") == F.col("clashing"), "left")
+    return cut_lineage(joined.withColumn("set_key", key).select(signed.columns))
+
+
 @contextmanager
 def small_batches(spark: SparkSession):
     """Arrow batches of BATCH rows for what runs inside."""
@@ -140,6 +162,57 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "src long, dst long")
 
 
+def set_hashes(texts: DataFrame) -> DataFrame:
+    """set_key and hashes of the shingles of texts (set_key, text)."""
+
+    def run(batches):
+        for batch in batches:
+            for begin in range(0, batch.num_rows, BATCH):
+                part = batch.slice(begin, BATCH)
+                found = [hashed(text.as_py()).view(np.int64) for text in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.list_(pa.int64()))], ["set_key", "hashes"])
+
+    return texts.select("set_key", "text").mapInArrow(run, "set_key long, hashes array<long>")
+
+
+def prefixes(sets: DataFrame) -> DataFrame:
+    """key and set_key: the rarest shingles of every set (set_key, hashes), those that another set has.
+
+    Of n shingles in any order common to all sets, the first n - ceil(0.8 n) + 1 of two sets of
+    similarity 0.8 have one in common. Shingles of a single set come first and are not returned.
+    A set that is given twice counts twice in that order, which changes no result.
+    """
+    n, shared = F.col("n"), F.size("by_rarity")
+    rows = sets.select("set_key", F.size("hashes").alias("n"), F.explode("hashes").alias("key"))
+    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
+    sorted_ = F.sort_array(F.collect_set(F.struct("sets", "key"))).alias("by_rarity")
+    ranked = rows.join(counts, "key").groupBy("set_key", "n").agg(sorted_)
+    length = n - F.ceil(n * LEAST[0] / LEAST[1]).cast("int") + 1 - (n - shared)
+    first = F.slice("by_rarity", 1, F.greatest(length, F.lit(0)))
+    return ranked.select("set_key", F.explode(first).alias("first")).select(F.col("first.key").alias("key"), "set_key")
+
+
+def across(members: DataFrame) -> DataFrame:
+    """Pairs (src, dst), least key first, within a key, of sets of different roots whose sketches are near.
+
+    members has key, set_key, root and sketch. Sets of the key's largest component are paired with
+    the sets outside it only.
+    """
+    sizes = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("key").agg(
+        F.max(F.struct("n", "root"))["root"].alias("largest"), F.count(F.lit(1)).alias("components")
+    )
+    mixed = members.join(largest.filter("components > 1"), "key")
+    few = mixed.filter("root <> largest").select(
+        "key", F.col("set_key").alias("src"), F.col("root").alias("src_root"), F.col("sketch").alias("src_sketch")
+    )
+    all_ = mixed.select(
+        "key", F.col("set_key").alias("dst"), F.col("root").alias("dst_root"), F.col("sketch").alias("dst_sketch")
+    )
+    pairs = few.join(all_, "key").filter(F.col("src_root") != F.col("dst_root")).filter(near("src_sketch", "dst_sketch"))
+    return pairs.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
+
+
 def small(rows: DataFrame) -> DataFrame:
     """rows, broadcast if they are few: texts then stay where they are."""
     rows = cut_lineage(rows)
@@ -156,16 +229,18 @@ def similar_sets(distinct: DataFrame, texts: DataFrame) -> DataFrame:
     members = cut_lineage(rows.join(crowded.select("band", "least"), "band"))
     sketches = distinct.select(F.col("set_key").alias("of_set"), F.col("sketch"))
 
-    def checked(pairs: DataFrame) -> DataFrame:
-        close = pairs.filter(near("src_sketch", "dst_sketch")).select("src", "dst")
-        close = cut_lineage(close)
-        wanted = close.select(F.col("src").alias("set_key")).union(close.select("dst")).distinct()
+    def with_text(wanted: DataFrame) -> DataFrame:
+        """set_key and text of the sets of wanted; of a repeated row all copies."""
         wanted = wanted.join(distinct.select("set_key", "first_id", "first_key"), "set_key").select(
             "set_key", F.col("first_id").alias("wanted_id"), F.col("first_key").alias("wanted_key")
         )
         same = F.col("doc_id").eqNullSafe(F.col("wanted_id")) & (F.col("text_key") == F.col("wanted_key"))
-        found = texts.join(small(wanted), same).select("set_key", "text").dropDuplicates(["set_key"])
-        found = cut_lineage(found)
+        return texts.join(small(wanted), same).select("set_key", "text")
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        close = cut_lineage(pairs.filter(near("src_sketch", "dst_sketch")).select("src", "dst"))
+        wanted = close.select(F.col("src").alias("set_key")).union(close.select("dst")).distinct()
+        found = cut_lineage(with_text(wanted).dropDuplicates(["set_key"]))
         with small_batches(found.sparkSession):
             return cut_lineage(confirmed(close, found))
 
@@ -178,24 +253,20 @@ def similar_sets(distinct: DataFrame, texts: DataFrame) -> DataFrame:
     links = checked(sketched(star))
     roots = components(links)
 
-    named = members.select("band", "set_key").join(roots, F.col("set_key") == F.col("node"), "left")
-    named = named.join(sketches, F.col("set_key") == F.col("of_set"))
-    named = cut_lineage(named.select("band", "set_key", F.coalesce("root", "set_key").alias("root"), "sketch"))
-    sizes = named.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("band").agg(
-        F.max(F.struct("n", "root"))["root"].alias("largest"), F.count(F.lit(1)).alias("components")
-    )
-    mixed = named.join(largest.filter("components > 1"), "band")
-    few = mixed.filter("root <> largest").select(
-        "band", F.col("set_key").alias("src"), F.col("root").alias("src_root"), F.col("sketch").alias("src_sketch")
-    )
-    all_ = mixed.select(
-        "band", F.col("set_key").alias("dst"), F.col("root").alias("dst_root"), F.col("sketch").alias("dst_sketch")
-    )
-    across = few.join(all_, "band").filter(F.col("src_root") != F.col("dst_root")).filter(near("src_sketch", "dst_sketch"))
-    across = across.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
+    named = members.select(F.col("band").alias("key"), "set_key").join(roots, F.col("set_key") == F.col("node"), "left")
+    named = cut_lineage(named.select("key", "set_key", F.coalesce("root", "set_key").alias("root")))
+    sizes = named.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    outside = sizes.groupBy("key").agg((F.sum("n") - F.max("n")).alias("outside")).filter("outside > 0")
+    mixed = cut_lineage(named.join(outside, "key").join(sketches, F.col("set_key") == F.col("of_set")).drop("of_set"))
+    crowd = cut_lineage(mixed.filter(F.col("outside") > FEW).select("set_key", "root", "sketch").dropDuplicates(["set_key"]))
+    found = across(mixed.filter(F.col("outside") <= FEW))
+    if not crowd.isEmpty():
+        with small_batches(crowd.sparkSession):
+            hashes = cut_lineage(set_hashes(with_text(crowd.select("set_key"))))
+        found = found.union(across(prefixes(hashes).join(crowd, "set_key")))
+    found = found.distinct()
     tried = star.select(F.col("dst").alias("src"), F.col("src").alias("dst"))  # the least set comes first here
-    more = checked(sketched(across.join(tried, ["src", "dst"], "left_anti")))
+    more = checked(sketched(found.join(tried, ["src", "dst"], "left_anti")))
     return roots if more.isEmpty() else components(links.union(more))
 
 
@@ -208,7 +279,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).withColumn("text_key", F.xxhash64("text"))
     with small_batches(docs.sparkSession):
-        signed = cut_lineage(signatures(texts))
+        signed = apart(cut_lineage(signatures(texts)))
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
     distinct = signed.groupBy("set_key").agg(
         F.min(order).alias("first"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
