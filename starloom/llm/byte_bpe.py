@@ -14,8 +14,9 @@ Pieces longer than LONG bytes contract all occurrences of their least rank in on
 right. In a trained vocabulary a merge never makes a pair of lower rank than its own possible, so
 the result is the same, with one step per rank instead of one per merge.
 
-The pass is narrow. A worker keeps about KEEP pieces in its cache, for all its tasks, and a query
-gets about ROWS rows, plus one piece.
+The pass is narrow. A worker keeps about `keep` pieces (some 400 bytes each) in its cache, for all
+its tasks, and a query gets about ROWS rows, plus one piece. Beyond its memory limit DuckDB spills
+to Spark's scratch folder.
 
 Null and empty texts have no tokens and decode to nothing; null ids stay null; repeated rows each
 give a row; an empty table gives an empty result; other columns are ignored.
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -40,6 +42,8 @@ from starloom.llm.frames import map_texts
 ROWS = 250_000
 KEEP = 400_000
 LONG = 128
+#: Tokens of a vocabulary, at most: a pair of ids is one number, left id times IDS plus right id.
+IDS = 65536
 #: Steps of one recursive query over long pieces, whose rows all stay until it ends.
 LONG_STEPS = 16
 
@@ -51,15 +55,15 @@ FINAL = """
 """
 
 #: One pair per piece and step. key is rank and place of the pair that begins at a row.
-CONTRACT = """
+CONTRACT = f"""
 WITH RECURSIVE steps AS (
   SELECT 0 AS step, word, pos, tok, (m.rank::BIGINT << 32) | pos AS key
-  FROM (SELECT *, tok::BIGINT * 65536 + lead(tok) OVER (ORDER BY pos) AS pair FROM start) s LEFT JOIN merges m ON m.pair = s.pair
+  FROM (SELECT *, tok::BIGINT * {IDS} + lead(tok) OVER (ORDER BY pos) AS pair FROM start) s LEFT JOIN merges m ON m.pair = s.pair
   UNION ALL
   SELECT step, word, pos, tok, (m.rank::BIGINT << 32) | pos AS key
   FROM (
     SELECT step + 1 AS step, word, pos, tok,
-      tok::BIGINT * 65536 + lead(tok) OVER (ORDER BY pos) AS pair
+      tok::BIGINT * {IDS} + lead(tok) OVER (ORDER BY pos) AS pair
     FROM (
       SELECT p.step, p.word, p.pos, CASE WHEN p.key = b.best THEN (b.best >> 32)::INT ELSE p.tok END AS tok
       FROM (SELECT *, lag(key) OVER (ORDER BY pos) AS before FROM steps) p
@@ -72,12 +76,12 @@ WITH RECURSIVE steps AS (
 CONTRACT_LONG = f"""
 WITH RECURSIVE steps AS (
   SELECT 0 AS step, word, pos, tok, m.rank AS key
-  FROM (SELECT *, tok::BIGINT * 65536 + lead(tok) OVER (ORDER BY pos) AS pair FROM start) s LEFT JOIN merges m ON m.pair = s.pair
+  FROM (SELECT *, tok::BIGINT * {IDS} + lead(tok) OVER (ORDER BY pos) AS pair FROM start) s LEFT JOIN merges m ON m.pair = s.pair
   UNION ALL
   SELECT step, word, pos, tok, m.rank AS key
   FROM (
     SELECT step + 1 AS step, word, pos, tok,
-      tok::BIGINT * 65536 + lead(tok) OVER (ORDER BY pos) AS pair
+      tok::BIGINT * {IDS} + lead(tok) OVER (ORDER BY pos) AS pair
     FROM (
       SELECT step, word, pos, CASE WHEN merged THEN best ELSE tok END AS tok, lag(merged) OVER (ORDER BY pos) AS gone
       FROM (
@@ -104,15 +108,21 @@ class Codec:
         with open(ranks_path, "rb") as lines:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         ranks = self.ranks
+        if max(ranks.values()) >= IDS:
+            raise ValueError(f"token ids must be below {IDS}")
         self.split = regex.compile(pattern).findall
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         cuts = [
-            (ranks[token[:i]] * 65536 + ranks[token[i:]], rank)
+            (ranks[token[:i]] * IDS + ranks[token[i:]], rank)
             for token, rank in ranks.items()
             for i in range(1, len(token))
             if token[:i] in ranks and token[i:] in ranks
         ]
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
+        scratch = os.environ.get("SPARK_LOCAL_DIRS")
+        if scratch:
+            folder = os.path.join(scratch.split(",")[0], f"bpe-{os.getpid()}")
+            self.con.execute(f"SET temp_directory = '{folder}'")
         merges = pa.table([pa.array([c[0] for c in cuts], pa.int64()), pa.array([c[1] for c in cuts], pa.int32())], ["pair", "rank"])
         words = pa.table([pa.array(ranks.values(), pa.int32()), pa.array([t.hex() for t in ranks])], ["id", "hex"])
         for name, table in (("merges", merges), ("vocabulary", words)):
@@ -120,7 +130,13 @@ class Codec:
             self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.con.unregister("given")
         self.cache: dict[str, tuple[str, int, bytes, bytes]] = {}
-        self.with_ids = True
+        self.with_ids, self.most = True, KEEP
+
+    def use(self, with_ids: bool, most: int) -> None:
+        """Settings of a task; pieces that an earlier one cached without their ids don't serve one that needs them."""
+        if with_ids and not self.with_ids:
+            self.cache.clear()
+        self.with_ids, self.most = with_ids, most
 
     def keep(self, piece: str, ids: list[int], decoded: bytes) -> None:
         packed = np.array(ids, np.int32).tobytes() if self.with_ids else b""
@@ -161,7 +177,7 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[list[str]]:
         """The pieces of each text; afterwards the cache holds every one of them."""
-        if len(self.cache) > KEEP:
+        if len(self.cache) > self.most:
             self.cache.clear()
         cut = [self.split(text) for text in texts]
         short: list[tuple[str, bytes]] = []
@@ -195,13 +211,16 @@ def encode(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = True,
+    keep: int = KEEP,
 ) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids (array<int>)."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids (array<int>).
+
+    keep bounds a worker's cache of pieces; a smaller one takes less memory and more time.
+    """
 
     def make():
         worker = codec(ranks_path, pattern)
-
-        worker.with_ids = with_ids
+        worker.use(with_ids, keep)
 
         def work(_, texts: list[str]) -> list[pa.Array]:
             cut, known = worker.encode(texts), worker.cache

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -109,6 +110,26 @@ def test_bpe_equals_the_library_and_round_trips(docs_of, edge_docs, no_docs, ref
     assert [(r.n_tokens, r.ids) for r in only_empty] == [(0, []), (0, [])]
 
 
+def test_cached_pieces_serve_later_tasks():
+    texts = ["hello wonderfulness", "hello qqzxv"]
+    codec = byte_bpe.Codec(RANKS, PATTERN)
+    codec.use(False, 1)
+    codec.encode(texts)
+    codec.use(True, 1)
+    library = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=codec.ranks, special_tokens={})
+    for text in texts * 2:
+        pieces = codec.encode([text])[0]
+        ids = np.frombuffer(b"".join(codec.cache[p][3] for p in pieces), np.int32).tolist()
+        assert ids == library.encode_ordinary(text)
+
+
+def test_vocabularies_beyond_the_key_are_refused(tmp_path):
+    lines = [f"{base64.b64encode(bytes([i])).decode()} {i + byte_bpe.IDS - 255}" for i in range(256)]
+    (tmp_path / "wide.tiktoken").write_text("\n".join(lines) + "\n")
+    with pytest.raises(ValueError):
+        byte_bpe.Codec(str(tmp_path / "wide.tiktoken"), PATTERN)
+
+
 def test_bpe_query_equals_the_library(spark, sf_dir, reference):
     texts = dict(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect())
     for r in queries.QUERIES["op10_byte_bpe"](spark, sf_dir).collect():
