@@ -1,6 +1,7 @@
 """Top-n matching against brute force, over several blocks and shards."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -189,3 +190,29 @@ def test_pruning_saves_products(spark):
     work = recommend.matching_work(queries, targets, 5).first()
     assert work["possible"] == 500 * 20_000 and work["computed"] < 0.6 * work["possible"]
     assert recommend.matching_work(queries.limit(0), targets, 5).first()["possible"] == 0
+
+
+@pytest.mark.parametrize("ties", ["row", "rank"])
+def test_ties_leave_a_task_a_few_at_a_time(spark, monkeypatch, ties):
+    """A third of the users tie with every item; their candidates are cut before the next ones come."""
+    rng = np.random.default_rng(5)
+    u = {i: [0.0, 0.0] if i % 3 == 0 else list(map(float, rng.integers(0, 3, 2))) for i in range(60)}
+    v = {i: list(map(float, rng.integers(0, 3, 2))) for i in range(400)}
+    plain, seen = np.lexsort, []
+    monkeypatch.setattr(recommend, "HELD_CANDIDATES", 500)
+    monkeypatch.setattr(recommend, "BUCKET_ROWS", 50)
+    monkeypatch.setattr(recommend.np, "lexsort", lambda keys: seen.append(len(keys[0])) or plain(keys))
+
+    def rows(side, ids, vectors):
+        left, right = (ids, [None] * len(ids)) if side == recommend.QUERY else ([None] * len(ids), ids)
+        columns = [left, vectors, [-np.inf] * len(ids), [None] * len(ids), right, [side] * len(ids)]
+        names = ["left_id", "features", "floor", "excluded", "right_id", "side"]
+        kinds = [pa.int64(), pa.list_(pa.float64()), pa.float64(), pa.list_(pa.int64()), pa.int64(), pa.int32()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    step = recommend._block_matcher(5, ties == "rank", False)
+    batches = [rows(recommend.QUERY, list(u), list(u.values())), rows(recommend.TARGET, list(v), list(v.values()))]
+    found = [tuple(r.values()) for batch in step(iter(batches)) for r in batch.to_pylist()]
+    assert sorted(found) == sorted(brute_force(u, v, 5, ties=ties))
+    assert max(seen) <= 500 + 60 * 50  # before: all candidates of the block at once
+    assert len(seen) > 1
