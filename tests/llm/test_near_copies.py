@@ -122,3 +122,44 @@ def test_sets_with_half_their_key_in_common_stay_apart(spark):
     signed = spark.createDataFrame(rows, "doc_id BIGINT, text_key BIGINT, set_key BIGINT, set_check BIGINT")
     keys = {r.doc_id: r.set_key for r in near_copies.apart(signed).collect()}
     assert keys[1] == keys[4] and len({keys[1], keys[2], keys[3]}) == 3
+
+
+def test_changed_copies_of_one_text_give_few_pairs(docs_of, monkeypatch):
+    """300 copies with about an eighth of the shingles changed, too far from each other; some are linked."""
+    random.seed(9)
+    base = [f"w{i}" for i in range(400)]
+
+    def copy(i, changes):
+        out = list(base)
+        for p in random.sample(range(400), changes):
+            out[p] = f"z{i}x{p}"
+        return " ".join(out)
+
+    rows = [(i, copy(i, 12)) for i in range(300)]
+    rows += [(1000 + i, rows[10 * i][1] + " and more") for i in range(5)]
+    pairs, plain = [], near_copies.across
+
+    def counted(members):
+        found = plain(members)
+        pairs.append(found.count())
+        return found
+
+    monkeypatch.setattr(near_copies, "across", counted)
+    kept = sorted((r.doc_id for r in near_copies.one_of_each(docs_of(rows)).collect()), key=repr)
+    assert kept == plain_kept(rows)
+    assert sum(pairs) < 10 * len(rows)
+
+
+def test_similar_pairs_pass_at_their_first_common_key(spark):
+    random.seed(10)
+    sets = []
+    for _ in range(25):
+        base = [random.randrange(300) for _ in range(random.choice((1, 5, 10, 11, 40)))]
+        sets += [set(base), set(base[1:]) | {random.randrange(300)}, set(base) | {random.randrange(300)}]
+    sets = [s for s in sets if s]
+    frame = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "set_key BIGINT, hashes ARRAY<BIGINT>")
+    members = near_copies.prefixes(frame).withColumn("root", near_copies.F.col("set_key"))
+    members = members.withColumn("sketch", near_copies.F.array(*[near_copies.F.lit(0).cast("long")] * 3))
+    found = {(r.src, r.dst) for r in near_copies.across(members).collect()}
+    near = [(i, j) for j, b in enumerate(sets) for i, a in enumerate(sets[:j]) if len(a & b) * 5 >= 4 * len(a | b)]
+    assert near and found >= set(near)
