@@ -34,7 +34,10 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies (five-word shingles, 0.8 or more), the one of the smallest id."""
+    """One document of every group of near copies (five-word shingles, 0.8 or more), the one of the smallest id.
+
+    Candidates come from SimHash fingerprints through the binary trie self-join, and from MinHash bands.
+    """
     bounded_batches(spark)
     return near_copies.one_of_each(docs)
 

@@ -51,7 +51,11 @@ def fingerprint(text: str, shingle: int = 3) -> int:
     if not words:
         return 0
     parts = [words[i:] for i in range(min(shingle, len(words)))]
-    hashes = np.array([xxhash.xxh64_intdigest(" ".join(p), SEED) for p in zip(*parts)], np.uint64)
+    return voted(np.array([xxhash.xxh64_intdigest(" ".join(p), SEED) for p in zip(*parts)], np.uint64))
+
+
+def voted(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes set."""
     votes = np.zeros(BITS, np.int64)
     for begin in range(0, len(hashes), 65_536):
         raw = hashes[begin : begin + 65_536].astype("<u8").view(np.uint8).reshape(-1, 8)

@@ -163,3 +163,54 @@ def test_similar_pairs_pass_at_their_first_common_key(spark):
     found = {(r.src, r.dst) for r in near_copies.across(members).collect()}
     near = [(i, j) for j, b in enumerate(sets) for i, a in enumerate(sets[:j]) if len(a & b) * 5 >= 4 * len(a | b)]
     assert near and found >= set(near)
+
+
+def test_only_similar_sets_leave_the_join_on_prefixes(spark):
+    """Sets that carry their hashes; a pair of which one set carries none is left to the texts."""
+    random.seed(12)
+    base = list(range(60))
+    sets = [set(base[:-k] if k else base) | {1000 * i + j for j in range(k)} for i in range(12) for k in (0, 4, 8, 9, 12)]
+    frame = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "set_key BIGINT, hashes ARRAY<BIGINT>")
+    members = near_copies.prefixes(frame).withColumn("root", near_copies.F.col("set_key"))
+    members = members.withColumn("sketch", near_copies.F.array(*[near_copies.F.lit(0).cast("long")] * 3))
+    near = {(i, j) for j, b in enumerate(sets) for i, a in enumerate(sets[:j]) if len(a & b) * 5 >= 4 * len(a | b)}
+    found = {(r.src, r.dst) for r in near_copies.across(members.join(frame, "set_key")).collect()}
+    assert near and found == near
+    none = frame.withColumn("hashes", near_copies.F.expr("CASE WHEN set_key % 2 = 0 THEN hashes END"))
+    assert {(r.src, r.dst) for r in near_copies.across(members.join(none, "set_key")).collect()} >= near
+
+
+def test_candidates_by_fingerprint_are_those_of_the_trie(spark):
+    """Components of the candidate pairs are those of all fingerprints within 3 bits, by brute force."""
+    random.seed(13)
+    prints = []
+    for _ in range(40):
+        fp = random.getrandbits(63)
+        prints += [fp, fp, fp ^ 1 << random.randrange(63), fp ^ 7 << random.randrange(60), fp ^ 0x1F << random.randrange(58)]
+    frame = spark.createDataFrame(list(enumerate(prints)), "set_key BIGINT, fp BIGINT")
+    root, other = list(range(len(prints))), list(range(len(prints)))
+
+    def join(roots, i, j):
+        old, new = max(roots[i], roots[j]), min(roots[i], roots[j])
+        roots[:] = [new if r == old else r for r in roots]
+
+    for j, b in enumerate(prints):
+        for i, a in enumerate(prints[:j]):
+            if (a ^ b).bit_count() <= 3:
+                join(root, i, j)
+    pairs = near_copies.same_print(frame).collect()
+    for r in pairs:
+        assert r.src > r.dst
+        join(other, r.src, r.dst)
+    assert other == root and len(pairs) < len(prints)
+
+
+def test_stage_takes_the_links_of_the_trie(docs_of, monkeypatch):
+    """Without bands the stage still finds the copies whose fingerprints are near."""
+    random.seed(14)
+    words = [f"w{random.randrange(10**6)}" for _ in range(400)]
+    rows = [(1, " ".join(words)), (2, " ".join(words) + " more"), (3, " ".join(words[::-1]))]
+    plain = near_copies.signature
+    assert (plain(rows[0][1])[2] ^ plain(rows[1][1])[2]).bit_count() <= 3
+    monkeypatch.setattr(near_copies, "minima", lambda hashes: near_copies.FACTORS * hashes.sum())
+    assert sorted(r.doc_id for r in near_copies.one_of_each(docs_of(rows)).collect()) == [1, 3]
