@@ -1,6 +1,8 @@
 """Both solvers: against dense linear algebra, and on ratings with a planted structure."""
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -300,3 +302,28 @@ def test_scaling_test_has_one_row_per_fraction(spark, sf_dir):
     report = runs.scaling_test(views.ratings(spark, sf_dir), [0.5, 1.0], rank=2, max_iter=1)
     rows = report.orderBy("fraction").collect()
     assert [r["fraction"] for r in rows] == [0.5, 1.0] and rows[0]["speedup"] == 1.0
+
+
+def test_factors_of_a_batch_travel_as_one_row_per_block(spark):
+    """Every factor reaches each of its blocks once, in a row per batch and block at most."""
+    from starloom.plans.rating_blocks import arrived, by_block, gathered
+
+    pairs = sorted({(i, (i * k) % 7) for i in range(400) for k in range(1, 6)})
+    cuts = [0, 3, 4, 500, 501, len(pairs)]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array([p[c] for p in pairs[a:b]], t) for c, t in ((0, pa.int64()), (1, pa.int32()))], ["id", "block"])
+        for a, b in zip(cuts, cuts[1:])
+    ]
+    lists = list(gathered(pa.int64())(iter(batches)))
+    routes = {r["id"]: r["blocks"] for batch in lists for r in batch.to_pylist()}
+    assert sum(batch.num_rows for batch in lists) == 400
+    assert routes == {i: [b for j, b in pairs if j == i] for i in range(400)}
+
+    rows = pa.table({"id": list(routes), "blocks": pa.array(list(routes.values()), pa.list_(pa.int32())),
+                     "features": [[float(i), -float(i)] for i in routes]})
+    sent = pa.Table.from_batches(by_block(2)(iter(rows.to_batches(max_chunksize=150))))
+    assert sent.num_rows <= 3 * 7
+    for block in range(7):
+        ids, vectors = arrived(sent.filter(pc.equal(sent["block"], block)), 2)
+        assert sorted(ids.to_pylist()) == [i for i, b in pairs if b == block]
+        assert vectors.tolist() == [[float(i), -float(i)] for i in ids.to_pylist()]
