@@ -31,9 +31,11 @@ from .model import FactorModel, require_model
 
 BLOCK_ROWS = 8192
 SHARD_ROWS = 65536
-#: Bytes of vectors in a block or shard of a model's tables. Larger tiles mean fewer copies of either
+#: Bytes of rows in a block or shard of a model's tables. Larger tiles mean fewer copies of either
 #: table in the shuffle; a task multiplies them in pieces of SCORES_AT_ONCE.
 TILE_BYTES = 32 * 1024 * 1024
+#: What a row of a tile takes in a task besides its vector: ids, keys, lengths, offsets and places.
+ROW_BYTES = 96
 PAIRS_PER_TASK = 4_000_000
 SCORES_AT_ONCE = 4_000_000
 BOUND_SLACK = 1e-9  # relative, far above the rounding of lengths and scores
@@ -203,7 +205,7 @@ def _block_matcher(
 
 
 def tile_rows(rank: int) -> int:
-    return max(1024, TILE_BYTES // (8 * rank))
+    return max(1024, TILE_BYTES // (8 * rank + ROW_BYTES))
 
 
 def top_matches(

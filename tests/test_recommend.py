@@ -216,3 +216,14 @@ def test_ties_leave_a_task_a_few_at_a_time(spark, monkeypatch, ties):
     assert sorted(found) == sorted(brute_force(u, v, 5, ties=ties))
     assert max(seen) <= 500 + 60 * 50  # before: all candidates of the block at once
     assert len(seen) > 1
+
+
+@pytest.mark.parametrize("rank", [1, 2, 10])
+def test_a_tile_is_bounded_in_whole_rows(rank):
+    """The rows of a block, with their keys, take no more than a tile's bytes; short vectors did, times six."""
+    n = recommend.tile_rows(rank)
+    keys, ids = pa.array(np.zeros(n, np.int32)), pa.array(np.arange(n))
+    features = pa.ListArray.from_arrays(pa.array(np.arange(0, rank * n + 1, rank, dtype=np.int32)), pa.array(np.zeros(rank * n)))
+    excluded = pa.nulls(n, pa.list_(pa.int64()))
+    rows = pa.table([keys, ids, features, pa.array(np.zeros(n)), excluded, keys, keys], ["b", "i", "f", "l", "e", "s", "k"])
+    assert n > 1024 and rows.nbytes <= recommend.TILE_BYTES
