@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.frames import free_name, map_rows, map_texts
-from starloom.session import cut_lineage
+from starloom.session import cut_and_count, cut_lineage, parts_for
 
 BITS = 64
 SEED = 42
@@ -223,14 +223,15 @@ def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
     until no edge changes: every edge then ends in a root. Rounds grow with the logarithm of the
     longest path.
     """
-    edges = cut_lineage(edges.filter("src <> dst").distinct())
+    edges, n_edges = cut_and_count(edges.filter("src <> dst").distinct())
+    parts = parts_for(2 * n_edges)
     seen = None
     for _ in range(most_rounds):
         both = edges.union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-        large = star(both, lambda node, other, least: other > node)
+        large = star(both, lambda node, other, least: other > node, parts)
         down = large.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
-        small = star(down, lambda node, other, least: F.lit(True))
-        edges = cut_lineage(small.filter("src <> dst").distinct())
+        small = star(down, lambda node, other, least: F.lit(True), parts)
+        edges = cut_lineage(small.coalesce(parts))
         state = edges.agg(
             F.count(F.lit(1)), F.sum(F.xxhash64("src", "dst").cast("decimal(20,0)"))
         ).first()
@@ -240,13 +241,17 @@ def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
-def star(edges: DataFrame, chosen) -> DataFrame:
-    """Edges (other, least) for each node's chosen neighbours, and (node, least)."""
+def star(edges: DataFrame, chosen, parts: int) -> DataFrame:
+    """Edges (other, least) for each node's chosen neighbours, and (node, least).
+
+    Steps without a shuffle run in so many parts at most: what is left of few edges fills no more.
+    """
+    edges = edges.coalesce(parts)
     least = edges.groupBy("src").agg(F.least(F.col("src"), F.min("dst")).alias("least"))
     joined = edges.join(least, "src")
     moved = joined.filter(chosen(F.col("src"), F.col("dst"), F.col("least"))).select(F.col("dst").alias("src"), F.col("least").alias("dst"))
     own = least.select("src", F.col("least").alias("dst"))
-    return moved.union(own).filter("src <> dst").distinct()
+    return moved.union(own).filter("src <> dst").coalesce(parts).distinct()
 
 
 def print_components(prints: DataFrame, budget: int = 3) -> DataFrame:

@@ -10,6 +10,7 @@ import xxhash
 
 from starloom.llm import decontaminate, line_dedup, repeated_bytes, simhash
 from starloom.llm.queries import QUERIES
+from starloom.session import cut_and_count
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -94,6 +95,26 @@ def test_components_of_a_long_path(spark):
     assert {roots[i] for i in range(1, 51)} == {0} and roots[901] == 900
 
 
+def test_few_edges_stay_in_few_partitions(spark):
+    """A table of few rows is not spread over all shuffle partitions: each would write files of its own in every shuffle."""
+    held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "40"}
+    before = {key: spark.conf.get(key) for key in held}
+    try:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+        edges = spark.range(5000).selectExpr("id AS src", "id - id % 100 AS dst")
+        roots = simhash.components(edges)
+        assert roots.rdd.getNumPartitions() <= 4
+        assert {(r.node, r.root) for r in roots.collect()} == {(i, i - i % 100) for i in range(5000) if i % 100}
+        rows, n_rows = cut_and_count(spark.range(9000).repartition(40, "id"))
+        assert n_rows == rows.count() == 9000 and rows.rdd.getNumPartitions() == 3
+        nothing, n_rows = cut_and_count(spark.range(0))
+        assert n_rows == 0 and nothing.collect() == []
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_simhash_of_edge_cases(edge_docs, no_docs):
     rows = [(r.doc_id, plain_fingerprint(r.text)) for r in edge_docs.collect()]
     wanted = {(i, c) for (i, _), c in zip(rows, plain_components(rows))}
