@@ -8,7 +8,8 @@ number of candidates, however many targets tie.
 
 Products are pruned by length: a score is at most the product of both vectors' lengths. A task goes
 through its targets from the longest on, in buckets, and a query leaves as soon as its bound for the
-next bucket is below its n-th best score. With several shards the longest targets come first, as a
+next bucket is below its n-th best score. Products that fit a core's cache, in single precision, choose
+within a bound on their rounding the few pairs that are scored exactly. With several shards the longest targets come first, as a
 table of their own, and a query that their scores settle is sent to no other shard.
 """
 
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.vectors import as_double_vector
 from ..operators.ranking import top_n_per_user
+from ..operators.skew import BROADCAST_BYTES
 from ..schemas import Columns
 from ..session import cut_lineage
 from .model import FactorModel, require_model
@@ -37,7 +39,7 @@ TILE_BYTES = 32 * 1024 * 1024
 #: What a row of a tile takes in a task besides its vector: ids, keys, lengths, offsets and places.
 ROW_BYTES = 96
 PAIRS_PER_TASK = 4_000_000
-SCORES_AT_ONCE = 4_000_000
+SCORES_AT_ONCE = 1 << 20  # stay in a core's cache in single precision
 BOUND_SLACK = 1e-9  # relative, far above the rounding of lengths and scores
 BUCKET_ROWS = 2048  # targets between two looks at the bound
 #: Candidates of the queries at hand before all but their best go; rows of a batch that leaves a task.
@@ -119,7 +121,16 @@ def _block_matcher(
         reach = 4 * (rank + 2) * np.finfo(float).eps * u_length * v_length.max()
         most = min(n, len(v))
         width = min(BUCKET_ROWS, len(v))
+        buckets = range(0, len(v), width)
         step = max(1, SCORES_AT_ONCE // width)
+        u_scale, v_scale, kind, blur = np.ones(len(u)), np.ones(len(buckets)), float, 0.0
+        if np.isfinite(u).all() and np.isfinite(v).all():  # in single precision, entries within one
+            u_scale = np.abs(u).max(axis=1)
+            v_scale = np.maximum.reduceat(np.abs(v).max(axis=1), buckets)
+            u_scale[u_scale == 0], v_scale[v_scale == 0] = 1.0, 1.0
+            kind, blur = np.float32, 4 * (rank + 2) * rank * np.finfo(np.float32).eps
+        shapes = [np.ascontiguousarray((v[b : b + width] / scale).T, kind) for b, scale in zip(buckets, v_scale)]
+        room, least = np.empty(step * width, kind), np.finfo(kind).min
         parts = [(lo, min(lo + step, len(u))) for lo in range(0, len(u), step)][::-1]
         while parts:
             lo, hi = parts.pop()
@@ -129,30 +140,48 @@ def _block_matcher(
             a, b = np.searchsorted(row, [lo, hi])
             by_bucket = np.argsort(col[a:b] // width, kind="stable")
             out_row, out_col = row[a:b][by_bucket] - lo, col[a:b][by_bucket]
+            out_edges = np.searchsorted(out_col // width, np.arange(len(buckets) + 1))
+            shape = (u[lo:hi] / u_scale[lo:hi, None]).astype(kind)
             active, found, waiting, whole = np.arange(hi - lo), [], 0, True
-            for begin in range(0, len(v), width):
+            for k, begin in enumerate(buckets):
                 active = active[u_length[lo + active] * v_length[begin] >= nth[active] - slack[active]]
                 if not len(active):
                     break
-                part = v[begin : begin + width]
-                scores = u[lo + active] @ part.T
+                part = shapes[k]
+                scores = room[: len(active) * part.shape[1]].reshape(len(active), -1)
+                np.matmul(shape[active], part, out=scores)
                 products += scores.size
-                c, d = np.searchsorted(out_col // width, [begin // width, begin // width + 1])
+                c, d = out_edges[k], out_edges[k + 1]
                 slot = np.full(hi - lo, -1)
                 slot[active] = np.arange(len(active))
                 left_out = slot[out_row[c:d]]
                 scores[left_out[left_out >= 0], out_col[c:d][left_out >= 0] - begin] = -np.inf
-                better = np.flatnonzero((scores >= (nth - slack)[active, None]).any(axis=1))
-                better, some = active[better], scores[better]
-                top = np.concatenate([best[better], some], axis=1)
-                best[better] = np.partition(top, top.shape[1] - most, axis=1)[:, -most:]
-                if most == n:
-                    nth[better] = np.maximum(nth[better], best[better].min(axis=1))
-                r, c = np.nonzero((some >= (nth - slack)[better, None]) & (some > -np.inf))
+                unsure = slack[active] / u_scale[lo + active] / v_scale[k] + blur
+                wanted = nth[active] / u_scale[lo + active] / v_scale[k] - unsure
+                wanted = np.clip(np.nan_to_num(wanted, nan=least), least, -least).astype(kind)
+                better = np.flatnonzero(np.fmax.reduce(scores, axis=1) >= wanted)
+                some, wanted, unsure, better = scores[better], wanted[better], unsure[better], active[better]
+                if some.shape[1] > n:  # the n-th best of this bucket alone bounds what it can add
+                    own = np.flatnonzero(np.count_nonzero(some >= wanted[:, None], axis=1) > 4 * n)
+                    last = np.partition(some[own], -n, axis=1)[:, -n]
+                    wanted[own] = np.fmax(wanted[own], last - 2 * unsure[own])
+                r, c = np.nonzero(some >= wanted[:, None])
+                if not len(r):
+                    continue
+                starts = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
+                each, rows = np.diff(np.r_[starts, len(r)]), better[r[starts]]
                 r, c = lo + better[r], begin + c
                 exact = np.zeros(len(r))
-                for k in range(rank):
-                    exact += u[r, k] * v[c, k]
+                for entry in range(rank):
+                    exact += u[r, entry] * v[c, entry]
+                if most == n:
+                    merged = np.full((len(rows), int(each.max()) + n), -np.inf)
+                    merged[:, -n:] = best[rows]
+                    merged[np.repeat(np.arange(len(rows)), each), np.arange(len(r)) - np.repeat(starts, each)] = exact
+                    best[rows] = np.partition(merged, -n, axis=1)[:, -n:]
+                    nth[rows] = np.fmax(nth[rows], best[rows].min(axis=1))
+                    near = exact >= (nth - slack)[r - lo]
+                    r, c, exact = r[near], c[near], exact[near]
                 found.append((r, order[c], exact))
                 waiting += len(r)
                 if waiting > HELD_CANDIDATES:
@@ -249,7 +278,8 @@ def top_matches(
 
     cut = targets.agg(F.approx_percentile(_length("features"), 1 - shard_rows / n_targets)).first()[0]
     long = targets.where(_length("features") >= F.lit(cut))
-    first = tiles.best(queries, long, n_queries, max(1, long.count()))
+    n_long = max(1, long.count())
+    first = replace(tiles, exclude=_pairs_of(exclude, long, n_long)).best(queries, long, n_queries, n_long)
     first = cut_lineage(top_n_per_user(first, n, ties, named).select("left_id", "right_id", "score"))
     settled = first.groupBy("left_id").agg(F.count("*").alias("_n"), F.min("score").alias("_nth"))
     settled = settled.where(F.col("_n") >= n).select(F.col("left_id").alias("id"), "_nth")
@@ -274,6 +304,30 @@ def matching_work(queries: DataFrame, targets: DataFrame, n: int, *, block_rows:
     return work.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("possible", "computed")))
 
 
+def _pairs_of(exclude: DataFrame | None, targets: DataFrame, n_targets: int) -> DataFrame | None:
+    """The excluded pairs of some targets."""
+    if exclude is None:
+        return None
+    kind = targets.schema["id"].dataType
+    ids = targets.select(F.col("id").alias("right_id"))
+    ids = F.broadcast(ids) if 8 * n_targets <= BROADCAST_BYTES else ids
+    return exclude.select("left_id", F.col("right_id").cast(kind).alias("right_id")).join(ids, "right_id", "left_semi")
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (left_id, shard, list of different right_id) from sorted rows; an id has a list per batch."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        left, right, shard = (batch.column(c).to_numpy() for c in ("left_id", "right_id", "shard"))
+        other = left[1:] != left[:-1]
+        kept = np.flatnonzero(np.r_[True, other | (right[1:] != right[:-1])])
+        starts = np.flatnonzero(np.r_[True, other | (shard[1:] != shard[:-1])])
+        edges = np.r_[np.searchsorted(kept, starts), len(kept)].astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(right[kept]))
+        yield pa.RecordBatch.from_arrays([pa.array(left[starts]), pa.array(shard[starts]), lists], ["left_id", "shard", "excluded"])
+
+
 def _length(column: str) -> Column:
     return F.sqrt(F.aggregate(column, F.lit(0.0), lambda total, x: total + x * x))
 
@@ -321,11 +375,11 @@ class _Tiles:
             F.lit(QUERY).alias("side"),
         )
         if self.exclude is not None:
-            seen = (
-                self.exclude.select("left_id", F.col("right_id").cast(right_type).alias("right_id"))
-                .dropna()
-                .groupBy("left_id", shard_of(F.col("right_id")).alias("shard"))
-                .agg(F.collect_set("right_id").alias("excluded"))  # at most one shard of ids
+            pairs = self.exclude.select("left_id", F.col("right_id").cast(right_type).alias("right_id")).dropna()
+            pairs = pairs.withColumn("shard", shard_of(F.col("right_id"))).repartition("left_id", "shard")
+            kind = pairs.schema["left_id"].dataType.simpleString()
+            seen = pairs.sortWithinPartitions("left_id", "shard", "right_id").mapInArrow(
+                _listed, f"left_id {kind}, shard int, excluded array<{right_type.simpleString()}>"
             )
             left = left.unionByName(
                 seen.select(
@@ -411,9 +465,12 @@ def recommend_excluding_rated(
         ).first()
         sizes = found.asDict() | sizes
     pairs = ratings.select(F.col(cols.user).alias("left_id"), F.col(cols.item).alias("right_id"))
+    users, items = _chosen(model.users, ratings, cols.user), _chosen(model.items, ratings, cols.item)
+    if sizes["target_count"] > sizes["shard_rows"]:  # the search reads them several times
+        users, items = cut_lineage(users), cut_lineage(items)
     matches = top_matches(
-        _chosen(model.users, ratings, cols.user),
-        _chosen(model.items, ratings, cols.item),
+        users,
+        items,
         n,
         exclude=pairs,
         ties=ties,

@@ -27,6 +27,12 @@ def test_no_query_has_a_cross_product(spark, sf_dir, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+@pytest.mark.parametrize("name", ["recommend_trained"])
+def test_trained_queries_join_their_ratings_once(spark, sf_dir, name):
+    """Every step after the first reads the written ratings; before, each joined the two tables again."""
+    assert "lineitem" not in plan_of(registry.QUERIES[name](spark, sf_dir))
+
+
 def test_id_filter_reaches_the_scan(spark, sf_dir):
     plan = plan_of(splits.filter_by_id(views.table(spark, sf_dir, "part"), "p_partkey", 5))
     assert re.search(r"PushedFilters: \[.*EqualTo\(p_partkey,5\)", plan)

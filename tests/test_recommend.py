@@ -218,6 +218,34 @@ def test_ties_leave_a_task_a_few_at_a_time(spark, monkeypatch, ties):
     assert len(seen) > 1
 
 
+def test_scores_in_single_precision_only_choose_candidates(spark):
+    """Vectors of any size, and targets that differ beyond single precision, come in their exact order."""
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(1, 5))
+    v = np.concatenate([base + 1e-11 * rng.normal(size=(300, 5)), 1e-150 * rng.normal(size=(50, 5)), np.zeros((3, 5))])
+    u = np.concatenate([base * s + rng.normal(size=(6, 5)) * s * 1e-3 for s in (1.0, 1e140, 1e-140)] + [np.zeros((2, 5))])
+    users, items = dict(enumerate(u.tolist())), dict(enumerate(v.tolist()))
+    found = recommend.top_matches(factor_table(spark, users, u), factor_table(spark, items, v), 5)
+    assert {tuple(r) for r in found.collect()} == brute_force(users, items, 5)
+
+
+def test_excluded_pairs_are_listed_once_and_only_for_the_targets_at_hand(spark, monkeypatch):
+    """Copies of a pair leave as one entry; the search of the longest targets gets their pairs alone, before: all."""
+    rows = spark.createDataFrame([(1, 7)] * 500 + [(1, 8), (2, 7), (2, 9)], "left_id BIGINT, right_id BIGINT")
+    rows = rows.withColumn("shard", F.lit(0)).coalesce(1).sortWithinPartitions("left_id", "shard", "right_id")
+    lists = rows.mapInArrow(recommend._listed, "left_id bigint, shard int, excluded array<bigint>").collect()
+    assert [tuple(r) for r in lists] == [(1, 0, [7, 8]), (2, 0, [7, 9])]
+    seen, best = [], recommend._Tiles.best
+    monkeypatch.setattr(
+        recommend._Tiles, "best", lambda self, *rest: seen.append(self.exclude.count()) or best(self, *rest)
+    )
+    lengths = np.arange(1.0, 101.0)[:, None]
+    pairs = spark.createDataFrame([(i, j) for i in range(4) for j in range(100)], "left_id INT, right_id INT")
+    queries, targets = factor_table(spark, range(4), np.ones((4, 1))), factor_table(spark, range(100), lengths)
+    assert recommend.top_matches(queries, targets, 3, exclude=pairs, shard_rows=20).count() == 0
+    assert seen[0] < 100 and seen[1] == 400
+
+
 @pytest.mark.parametrize("rank", [1, 2, 10])
 def test_a_tile_is_bounded_in_whole_rows(rank):
     """The rows of a block, with their keys, take no more than a tile's bytes; short vectors did, times six."""

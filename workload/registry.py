@@ -1201,9 +1201,17 @@ def save_load_mllib(spark, sf_dir):
     )
 
 
-def recommended(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _written(source: DataFrame, name: str) -> DataFrame:
+    """The (user, item, rating) rows, joined and drawn once and read by every later step from the shared folder."""
+    path = scratch_path(source.sparkSession, name)
+    sources.write_parquet(source.select("userId", "movieId", "rating"), path)
+    return source.sparkSession.read.parquet(path)
+
+
+def recommended(spark: SparkSession, sf_dir: str, train: DataFrame | None = None) -> DataFrame:
     """Split, train, top 10 unseen items per user, titles: the whole pipeline."""
-    train, _ = views.train_test(views.ratings(spark, sf_dir))
+    if train is None:
+        train = _written(views.train_test(views.ratings(spark, sf_dir))[0], "train")
     model = fit_factors(train, rank=10, max_iter=5, seed=42)
     recs = recommend.recommend_excluding_rated(model, train, 10, "row")
     return joins.enrich_titles(recs, views.movies(spark, sf_dir))
@@ -1217,9 +1225,9 @@ def recommended(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def recommend_trained(spark, sf_dir):
     """Per user: recommended items, those of them already rated, and those without a title."""
-    train, _ = views.train_test(views.ratings(spark, sf_dir))
+    train = _written(views.train_test(views.ratings(spark, sf_dir))[0], "train")
     rated = train.select("userId", "movieId").distinct().withColumn("_rated", F.lit(1))
-    found = recommended(spark, sf_dir).join(rated, ["userId", "movieId"], "left")
+    found = recommended(spark, sf_dir, train).join(rated, ["userId", "movieId"], "left")
     return found.groupBy("userId").agg(
         F.count_distinct("movieId").alias("n"),
         F.count("_rated").alias("rated"),
