@@ -27,7 +27,7 @@ def test_no_query_has_a_cross_product(spark, sf_dir, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-@pytest.mark.parametrize("name", ["recommend_trained"])
+@pytest.mark.parametrize("name", ["recommend_trained", "train_als"])
 def test_trained_queries_join_their_ratings_once(spark, sf_dir, name):
     """Every step after the first reads the written ratings; before, each joined the two tables again."""
     assert "lineitem" not in plan_of(registry.QUERIES[name](spark, sf_dir))

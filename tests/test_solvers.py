@@ -58,6 +58,21 @@ def test_half_step_equals_dense_solution(spark, small, scaled, rank):
     assert_same(vectors(found), expected)
 
 
+@pytest.mark.parametrize("hot", [[], [3], [3, 5, 99]])
+def test_half_step_moves_each_row_once(spark, small, monkeypatch, hot):
+    """Single-precision factors as such, sums in double and of hot entities only; before, all sums were shuffled."""
+    ratings, rows = small
+    rng = np.random.default_rng(4)
+    fixed = {i: [float(x) for x in rng.normal(size=3).astype(np.float32)] for i in sorted({r[1] for r in rows})}
+    factors = spark.createDataFrame(list(fixed.items()), "id INT, features ARRAY<FLOAT>")
+    monkeypatch.setattr(plain_als, "hot_keys", lambda df, *keys: dict.fromkeys(keys, hot))
+    found = plain_als.als_half_step(ratings, factors, 3, 0.3, True, "user")
+    assert_same(vectors(found), dense_half_step([r[:3] for r in rows], fixed, 3, 0.3, True))
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning(id") == (2 if hot else 1)
+    assert "_salt" not in plan
+
+
 @pytest.mark.parametrize("broadcast_bytes,part", [(10_000_000, 1 << 16), (0, 1 << 16), (0, 3)])
 def test_plain_als_equals_dense_iterations(small, monkeypatch, broadcast_bytes, part):
     """With and without broadcast; entities whole and in parts of few ratings."""

@@ -1126,6 +1126,13 @@ def recommend_wide_ids(spark, sf_dir):
     return rounded(rec.recommend_for_user((1 << 33) + 7, 10))
 
 
+def _written(source: DataFrame, name: str) -> DataFrame:
+    """The (user, item, rating) rows, joined and drawn once and read by every later step from the shared folder."""
+    path = scratch_path(source.sparkSession, name)
+    sources.write_parquet(source.select("userId", "movieId", "rating"), path)
+    return source.sparkSession.read.parquet(path)
+
+
 def _distance(found: DataFrame, wanted: DataFrame, digits: int) -> DataFrame:
     """(id, difference): the largest difference of two vectors per id, rounded; null if one is missing."""
     pairs = found.join(wanted.withColumnRenamed("features", "_wanted"), "id", "full")
@@ -1149,9 +1156,10 @@ def train_plain_als_rank10(spark, sf_dir):
 @query("train_als", 'SELECT DISTINCT "userId" AS id, 0.0::DOUBLE AS difference FROM ratings', "ratings")
 def train_als_explicit(spark, sf_dir):
     """Trained user vectors against a fresh solution of their normal equations."""
-    source = views.ratings(spark, sf_dir)
+    source = _written(views.ratings(spark, sf_dir), "ratings")
     model = fit_factors(source, rank=10, max_iter=5)
-    return _distance(model.users, plain_als.als_half_step(source, model.items, 10, 0.1, scaled=True), 2)
+    items = model.items.withColumn("features", F.col("features").cast("array<float>"))  # as trained
+    return _distance(model.users, plain_als.als_half_step(source, items, 10, 0.1, scaled=True), 2)
 
 
 @query("train_als_implicit", 'SELECT DISTINCT "userId" AS id, 0.0::DOUBLE AS residual FROM ratings', "ratings")
@@ -1201,13 +1209,6 @@ def save_load_mllib(spark, sf_dir):
     )
 
 
-def _written(source: DataFrame, name: str) -> DataFrame:
-    """The (user, item, rating) rows, joined and drawn once and read by every later step from the shared folder."""
-    path = scratch_path(source.sparkSession, name)
-    sources.write_parquet(source.select("userId", "movieId", "rating"), path)
-    return source.sparkSession.read.parquet(path)
-
-
 def recommended(spark: SparkSession, sf_dir: str, train: DataFrame | None = None) -> DataFrame:
     """Split, train, top 10 unseen items per user, titles: the whole pipeline."""
     if train is None:
