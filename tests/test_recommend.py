@@ -255,3 +255,24 @@ def test_a_tile_is_bounded_in_whole_rows(rank):
     excluded = pa.nulls(n, pa.list_(pa.int64()))
     rows = pa.table([keys, ids, features, pa.array(np.zeros(n)), excluded, keys, keys], ["b", "i", "f", "l", "e", "s", "k"])
     assert n > 1024 and rows.nbytes <= recommend.TILE_BYTES
+
+
+def test_tied_rows_leave_their_task_without_being_stored(spark, monkeypatch):
+    """The n-th best scores are found first, n rows per query; before, all tied rows were stored and a task held its own."""
+    u, v = {i: [1.0, i / 7] for i in range(20)}, {i: [1.0, float(i % 3 == 0)] for i in range(90)}
+    stored, cut = [], recommend.cut_lineage
+    monkeypatch.setattr(recommend, "cut_lineage", lambda rows: stored.append(rows.count()) or cut(rows))
+    users, items = factor_table(spark, u, u.values()), factor_table(spark, v, v.values())
+    found = recommend.top_matches(users, items, 4, ties="rank", shard_rows=10)
+    assert {tuple(r) for r in found.collect()} == brute_force(u, v, 4, ties="rank") and found.count() == 30 * 19 + 90
+    assert max(stored) <= 4 * len(u)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan and "CoGroups" not in plan
+
+
+def test_excluded_pairs_of_an_id_are_one_list_over_batches():
+    """Rows of an id that go on in the next batch, with a copy at the edge; before, a list per batch."""
+    rows = [(1, 0, 7), (1, 0, 7), (1, 0, 7), (1, 0, 8), (1, 1, 9), (2, 0, 7)]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(["left_id", "shard", "right_id"], r)) for r in some]) for some in (rows[:2], [], rows[2:])[::2]]
+    lists = [tuple(r.values()) for batch in recommend._listed(iter(batches)) for r in batch.to_pylist()]
+    assert lists == [(1, 0, [7, 8]), (1, 1, [9]), (2, 0, [7])]
