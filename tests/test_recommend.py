@@ -276,3 +276,23 @@ def test_excluded_pairs_of_an_id_are_one_list_over_batches():
     batches = [pa.RecordBatch.from_pylist([dict(zip(["left_id", "shard", "right_id"], r)) for r in some]) for some in (rows[:2], [], rows[2:])[::2]]
     lists = [tuple(r.values()) for batch in recommend._listed(iter(batches)) for r in batch.to_pylist()]
     assert lists == [(1, 0, [7, 8]), (1, 1, [9]), (2, 0, [7])]
+
+
+def test_a_query_meets_only_buckets_and_ranges_near_its_direction(spark, monkeypatch):
+    """Targets near a line across the queries' directions; before, a query met every bucket and shard that one length allowed."""
+    rng = np.random.default_rng(8)
+    share = rng.random(4000)
+    v = np.c_[share, 1 - share] + 0.05 * rng.random((4000, 2))
+    turn = rng.uniform(0, np.pi / 2, 600)
+    u = np.c_[np.cos(turn), np.sin(turn)]
+    users, items = factor_table(spark, range(600), u), factor_table(spark, range(4000), v)
+    monkeypatch.setattr(recommend, "BUCKET_ROWS", 64)
+    monkeypatch.setattr(recommend, "SCORES_AT_ONCE", 64 * 64)
+    work = recommend.matching_work(users, items, 3, block_rows=600).first()
+    assert work["computed"] < 0.12 * work["possible"]  # before: 0.17
+    met, best = [], recommend._Tiles.best
+    monkeypatch.setattr(recommend._Tiles, "best", lambda self, *rest: met.append(rest[2]) or best(self, *rest))
+    found = recommend.top_matches(users, items, 3, shard_rows=400).collect()
+    exact = brute_force(dict(enumerate(u.tolist())), dict(enumerate(v.tolist())), 3)
+    assert {tuple(r) for r in found} == exact
+    assert met[0] == [600] and len(met[1]) == 9 and sum(met[1]) < 0.5 * 9 * 600  # before: all nine for every open query

@@ -746,9 +746,9 @@ PRECISION = {
 
 @query("precision_curve", "SELECT model, k, precision FROM curve", "recs recs_all test", PRECISION)
 def precision_curve(spark, sf_dir):
-    source = views.ratings(spark, sf_dir)
-    _, test = views.train_test(source)
-    unseen = _unseen(spark, sf_dir, "row").withColumn("model", F.lit("unseen"))
+    source = _written(views.ratings(spark, sf_dir), "ratings")
+    test = _written(views.train_test(source)[1], "test")
+    unseen = _unseen(spark, sf_dir, "row", source).withColumn("model", F.lit("unseen"))
     every = recommend.recommend_all_users(given_model(source), 10).withColumn("model", F.lit("all"))
     recs = ranking.with_rank(unseen).unionByName(ranking.with_rank(every))
     curve = quality.precision_curve(recs, test, groups=["model"])
