@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -10,6 +11,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 #: Rows for which a partition of an intermediate table of short rows is worth its task and files.
 PART_ROWS = 4096
 
+#: Whether a query's shuffle files go when it ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+_making = threading.Lock()
 _local_roots: dict[str, str] = {}  # temporary folder per local application
 
 
@@ -43,9 +48,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder; it outlives the executors that computed it."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` in the shared folder; it outlives the executors that computed it.
+
+    Nothing reads its shuffles again, so their files go at once. Spark would keep them until the driver
+    collects garbage, which on a long run of steps is the sum of all of them.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    with _making:  # the setting counts when a frame is made
+        before = spark.conf.get(FREE_SHUFFLES)
+        spark.conf.set(FREE_SHUFFLES, "true")
+        try:
+            last = df.select("*")
+        finally:
+            spark.conf.set(FREE_SHUFFLES, before)
+    return last.checkpoint(eager=True)
 
 
 def parts_for(n_rows: int) -> int:

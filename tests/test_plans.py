@@ -1,12 +1,14 @@
 """Physical plans: no cross products, pruned and filtered scans, limits before shuffles."""
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from starloom.operators import joins, ranking, splits, stats
 from starloom.plans.model import FactorModel, predict
+from starloom.session import FREE_SHUFFLES, cut_lineage
 from workload import registry, views
 
 
@@ -94,3 +96,16 @@ def test_no_job_runs_while_a_join_is_planned(spark, sf_dir):
         assert not status.getJobIdsForGroup("planning")
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_materialised_step_leaves_no_shuffle_files(spark):
+    """Before, the files of every half step stayed until the driver collected garbage."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: disk.getAllFiles().mkString(" ").count("shuffle_")
+    rows, before = spark.range(10_000).withColumn("k", F.col("id") % 100), held()
+    sums = cut_lineage(rows.groupBy("k").agg(F.sum("id").alias("s")))
+    until = time.monotonic() + 10
+    while held() > before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert held() <= before and sums.count() == 100
+    assert spark.conf.get(FREE_SHUFFLES) == "false"
